@@ -1,0 +1,72 @@
+import pytest
+
+from tidemark.operators.clean import (
+    cast_to_double,
+    clean,
+    drop_columns,
+    drop_duplicates,
+    drop_incomplete,
+    select_features,
+    split_label,
+)
+from tidemark.spec import FeatureSpec, column_roles, require_schema, schema_differences
+
+
+def test_blank_and_bad_numbers_become_null(spark):
+    df = spark.createDataFrame([("1.5",), (" ",), ("",), ("x",), ("2",)], "amount string")
+    values = [r[0] for r in cast_to_double(df, ["amount", "absent"]).collect()]
+    assert values == [1.5, None, None, None, 2.0]
+
+
+def test_clean_drops_casts_and_deduplicates(spark):
+    rows = [(1, "a", "1"), (2, "a", "1"), (3, "a", " "), (4, None, "1"), (5, "b", "2")]
+    df = spark.createDataFrame(rows, "id int, kind string, amount string")
+    spec = FeatureSpec(label="kind", drop=["id", "gone"], to_double=["amount"])
+    assert sorted(map(tuple, clean(df, spec).collect())) == [("a", 1.0), ("b", 2.0)]
+
+
+def test_nulls_are_equal_when_deduplicating(spark):
+    df = spark.createDataFrame([(None, 1), (None, 1), ("a", 1)], "k string, v int")
+    assert drop_duplicates(df).count() == 2
+
+
+def test_nan_counts_as_missing(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "v double")
+    assert [r[0] for r in drop_incomplete(df).collect()] == [1.0]
+
+
+def test_roles_follow_types(spark):
+    df = spark.createDataFrame(
+        [], "a int, b double, c bigint, d string, e boolean, f date, a_scaled double, g float"
+    )
+    numeric, categorical = column_roles(df)
+    assert numeric == ["a", "b"]
+    assert categorical == ["c", "d", "e", "f", "g"]
+
+
+def test_spec_roles_leave_out_key_and_label(spark):
+    df = spark.createDataFrame([], "id bigint, a int, b string, y string")
+    spec = FeatureSpec(label="y", key=["id"])
+    assert spec.roles(df) == (["a"], ["b"])
+    assert FeatureSpec(label="y", numeric=["id"], categorical=["b", "y"]).roles(df) == (["id"], ["b"])
+
+
+def test_select_by_name_and_label_split(spark):
+    df = spark.createDataFrame([(1, 2, 3, 4)], "a int, a_scaled int, b_indexed int, b_encoded int")
+    assert select_features(df).columns == ["a_scaled", "b_indexed"]
+    features, label = split_label(df, "a")
+    assert label.columns == ["a"] and "a" not in features.columns
+    assert drop_columns(df, ["a", "nope"]).columns == ["a_scaled", "b_indexed", "b_encoded"]
+
+
+def test_schema_contract(spark):
+    want = spark.createDataFrame([], "a int, b double").schema
+    have = spark.createDataFrame([], "a bigint, c double")
+    assert schema_differences(want, have.schema) == [
+        ("a", "type_changed"),
+        ("b", "missing_in_new"),
+        ("c", "missing_in_base"),
+    ]
+    with pytest.raises(ValueError, match="b: missing_in_new"):
+        require_schema(want, have)
+    require_schema(want, spark.createDataFrame([], "b double, a int, extra string"))

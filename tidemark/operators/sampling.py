@@ -39,14 +39,11 @@ def oversampling_ratios(df: DataFrame, label: str) -> dict[object, float]:
     return {row[label]: largest / row["n"] for row in rows}
 
 
-def _per_class(label: str, values: dict[object, float]) -> Column:
-    expression = None
+def _per_class(label: str, values: dict[object, float], default: float) -> Column:
+    expression = F
     for value, result in values.items():
-        hit = F.col(label) == F.lit(value)
-        expression = (
-            F.when(hit, F.lit(result)) if expression is None else expression.when(hit, F.lit(result))
-        )
-    return expression
+        expression = expression.when(F.col(label) == F.lit(value), F.lit(result))
+    return expression.otherwise(F.lit(default))
 
 
 def balance(
@@ -68,12 +65,12 @@ def balance(
     """
     ratios = oversampling_ratios(df, label) if ratios is None else ratios
     draw = uniform(_identity(df, key), salt)
-    whole = _per_class(label, {k: int(math.floor(r)) for k, r in ratios.items()})
-    part = _per_class(label, {k: r - math.floor(r) for k, r in ratios.items()})
+    whole = _per_class(label, {k: int(math.floor(r)) for k, r in ratios.items()}, 1)
+    part = _per_class(label, {k: r - math.floor(r) for k, r in ratios.items()}, 0.0)
     copies = whole + F.when(draw < part, 1).otherwise(0)
     if only is not None:
-        copies = F.when(only, copies).otherwise(F.when(F.col(label).isNotNull(), 1))
-    sized = df.withColumn("__copies", copies).where(F.col("__copies").isNotNull())
+        copies = F.when(only, copies).otherwise(1)
+    sized = df.where(F.col(label).isNotNull()).withColumn("__copies", copies)
     name = copy_column or "__copy"
     if max(ratios.values()) <= COPIES_PER_BLOCK:
         out = sized.withColumn(name, F.explode(F.sequence(F.lit(1), F.col("__copies"))))

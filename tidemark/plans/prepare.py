@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.categories import CategoryIndex, apply_index, fit_index
 from tidemark.operators.clean import clean, select_features
 from tidemark.operators.sampling import TRAIN, balance, oversampling_ratios, split
 from tidemark.operators.scaling import Scaling, apply_scaler, fit_scaler
-from tidemark.session import stage
+from tidemark.session import discard, scratch_path, stage_at
 from tidemark.sources.ledgers import Registry
 from tidemark.sources.snapshots import (
     COPY,
@@ -35,33 +35,38 @@ class FeatureState:
     index: CategoryIndex
 
     def save(self, spark: SparkSession, path: str) -> None:
-        """Write as small tables; wide categories keep a table of their own."""
-        stats = [(c, m, d) for c, (m, d) in self.scaling.stats.items()]
-        scaler = spark.createDataFrame(stats, "feature string, mean double, divisor double")
-        scaler.write.parquet(f"{path}/scaler")
+        """Write as small tables; wide categories keep a table of their own.
+
+        ``at`` keeps the columns in order, which a table read back does not.
+        """
+        scaling = [(at, c, *stat) for at, (c, stat) in enumerate(self.scaling.stats.items())]
         labels = [
-            (c, v, i) for c, values in self.index.labels.items() for i, v in enumerate(values)
+            (at, c, v, i)
+            for at, (c, values) in enumerate(self.index.labels.items())
+            for i, v in enumerate(values)
         ]
-        table = spark.createDataFrame(labels, "feature string, value string, index bigint")
-        table.write.parquet(f"{path}/categories")
-        names = [(c, f"{path}/wide/{i}") for i, c in enumerate(self.index.wide)]
-        spark.createDataFrame(names, "feature string, path string").write.parquet(f"{path}/wide_names")
-        for column, where in names:
+        wide = [(at, c, f"{path}/wide/{at}") for at, c in enumerate(self.index.wide)]
+        for name, rows, schema in (
+            ("scaler", scaling, "at int, feature string, mean double, divisor double"),
+            ("categories", labels, "at int, feature string, value string, index bigint"),
+            ("wide_names", wide, "at int, feature string, path string"),
+        ):
+            spark.createDataFrame(rows, schema).write.parquet(f"{path}/{name}")
+        for _, column, where in wide:
             self.index.wide[column].write.parquet(where)
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> FeatureState:
         """Read back a saved state."""
-        stats = {
-            r["feature"]: (r["mean"], r["divisor"])
-            for r in spark.read.parquet(f"{path}/scaler").collect()
-        }
+
+        def rows(name: str, *order: str) -> list[Row]:
+            return spark.read.parquet(f"{path}/{name}").orderBy(*order).collect()
+
+        stats = {r["feature"]: (r["mean"], r["divisor"]) for r in rows("scaler", "at")}
         labels: dict[str, list[str]] = {}
-        rows = spark.read.parquet(f"{path}/categories").collect()
-        for row in sorted(rows, key=lambda r: (r["feature"], r["index"])):
+        for row in rows("categories", "at", "index"):
             labels.setdefault(row["feature"], []).append(row["value"])
-        names = spark.read.parquet(f"{path}/wide_names").collect()
-        wide = {r["feature"]: spark.read.parquet(r["path"]) for r in names}
+        wide = {r["feature"]: spark.read.parquet(r["path"]) for r in rows("wide_names", "at")}
         return FeatureState(Scaling(stats), CategoryIndex(labels, wide))
 
 
@@ -72,6 +77,7 @@ class Prepared:
     table: DataFrame
     state: FeatureState
     label: str
+    staged: str  # path of the cleaned rows the table is computed from
 
 
 def fit_state(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> FeatureState:
@@ -109,7 +115,8 @@ def prepare(
         cleaned = cleaned.withColumn(_ROW, F.xxhash64(*[F.col(c) for c in cleaned.columns]))
         key = [_ROW]
     early = order == "split_first"
-    staged = stage(split(cleaned, key, test_size) if early else cleaned, "cleaned")
+    path = scratch_path(df.sparkSession, "cleaned")
+    staged = stage_at(split(cleaned, key, test_size) if early else cleaned, path)
     in_train = F.col(SPLIT) == TRAIN
     learn_from = staged.where(in_train) if early else staged
     if state is None:
@@ -124,7 +131,7 @@ def prepare(
     )
     if not early:
         table = split(table, [*key, COPY], test_size)
-    return Prepared(table.drop(*key), state, label)
+    return Prepared(table.drop(*key), state, label, path)
 
 
 def _ratios_by_index(df: DataFrame, label: str, state: FeatureState) -> dict[object, float]:
@@ -158,6 +165,7 @@ def prepare_snapshot(
     prepared = prepare(df, spec, order, state)
     snapshot_id = snapshot_id or new_snapshot_id(spark)
     write_snapshot(prepared.table, registry.snapshot_root, snapshot_id)
+    discard(spark, prepared.staged)
     prepared.state.save(spark, registry.state_path(snapshot_id))
     rows = read_snapshot(spark, registry.snapshot_root, snapshot_id).count()
     registry.record_snapshot(snapshot_id, rows)

@@ -54,16 +54,28 @@ def use_checkpoints(spark: SparkSession) -> None:
         context.setCheckpointDir(f"{shared_folder(spark)}/checkpoints")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+def stage_at(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to ``path`` and read it back.
 
     Cuts lineage so that later passes neither repeat a shuffle nor depend on
     lost executors, and, unlike a checkpoint, keeps column pruning and pushdown.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """:func:`stage_at` a fresh path in the shared folder."""
+    return stage_at(df, scratch_path(df.sparkSession, name))
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a staged table; only paths in the shared folder are accepted."""
+    if not path.startswith(f"{shared_folder(spark)}/"):
+        raise ValueError(f"{path} was not staged here")
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
 
 
 @contextmanager
