@@ -69,7 +69,7 @@ def test_unseen_and_null_values(spark):
     new = spark.createDataFrame([("a",), ("z",), (None,)], "v string")
     assert [r["v_indexed"] for r in apply_index(new, fitted, "keep").collect()] == [0.0, 2.0, 2.0]
     assert [r["v_indexed"] for r in apply_index(new, fitted, "skip").collect()] == [0.0]
-    with pytest.raises(SparkRuntimeException, match="unseen category in v: z"):
+    with pytest.raises(SparkRuntimeException, match="unseen category in v: (z|NULL)"):
         apply_index(new, fitted, "error").collect()
     with pytest.raises(ValueError, match="invalid must be"):
         apply_index(new, fitted, "whatever")

@@ -7,7 +7,7 @@ from tidemark.plans import lifecycle
 from tidemark.plans.prepare import FeatureState, prepare, prepare_snapshot, to_features
 from tidemark.sources import snapshots
 from tidemark.sources.csv import read_csv, write_csv
-from tidemark.sources.ledgers import Ledger, Registry, champions, recent
+from tidemark.sources.ledgers import Ledger, Registry, champions, read_json_ledger, recent
 from tidemark.spec import FeatureSpec
 
 SPEC = FeatureSpec(label="left", drop=["customer"], to_double=["total"])
@@ -38,6 +38,24 @@ def test_ledger_appends_and_keeps_order(spark, tmp_path):
     assert ledger.last("snapshot_id") == "20240102"
 
 
+def test_json_ledger(spark, tmp_path):
+    path = tmp_path / "timestamps.json"
+    assert read_json_ledger(spark, str(path)).count() == 0
+    path.write_text('[\n {"timestamp": "20240103000000"},\n {"timestamp": "20240102000000"}\n]')
+    rows = read_json_ledger(spark, str(path)).orderBy("seq").collect()
+    assert [tuple(r) for r in rows] == [(1, "20240103000000"), (2, "20240102000000")]
+    for broken in ("", "[{", "[]"):
+        path.write_text(broken)
+        assert read_json_ledger(spark, str(path)).count() == 0
+
+
+def test_feature_files(spark, tmp_path):
+    for side, rows in (("train", "a,b\n1,2.5\n"), ("test", "a,b\n3,4.5\n")):
+        (tmp_path / f"20240101000000_x_{side}.csv").write_text(rows)
+    df = snapshots.read_feature_files(spark, str(tmp_path), "20240101000000")
+    assert sorted(map(tuple, df.collect())) == [(1, 2.5), (3, 4.5)]
+
+
 def test_recent_and_champion(spark):
     runs = spark.createDataFrame(
         [(1, 0.9), (2, 0.5), (3, None), (4, 0.5)], "started int, accuracy double"

@@ -10,11 +10,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import stage
+from tidemark.session import session_setting, shuffle_partitions, stage
 from tidemark.spec import ENCODED, INDEXED
 
 MAX_CATEGORIES = 10_000  # longest list kept on the driver and broadcast
@@ -47,15 +48,14 @@ class CategoryIndex:
 
 def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(feature, value, n)`` for all columns from one scan; nulls are no category."""
-    cells = [
-        F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value"))
-        for c in columns
-    ]
+    names = F.array(*[F.lit(c) for c in columns])
+    values = F.array(*[F.col(c).cast("string") for c in columns])
     return (
-        df.select(F.inline(F.array(*cells)))
+        df.select(F.posexplode(values).alias("__at", "value"))
         .where(F.col("value").isNotNull())
-        .groupBy("feature", "value")
+        .groupBy("__at", "value")
         .agg(F.count(F.lit(1)).alias("n"))
+        .select(F.get(names, F.col("__at")).alias("feature"), "value", "n")
     )
 
 
@@ -85,8 +85,7 @@ def rank_categories(df: DataFrame, column: str) -> DataFrame:
     value's index is its place within its block plus the sizes of the blocks
     before it. No block holds more than its share of the distinct values.
     """
-    spark = df.sparkSession
-    blocks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = shuffle_partitions(df)
     counts = category_counts(df, [column]).select("value", "n")
     staged = stage(
         counts.repartitionByRange(blocks, *_by_frequency()).withColumn(
@@ -119,16 +118,18 @@ def fit_index(
     if not columns:
         return CategoryIndex({})
     top = top_categories(df, columns, max_categories + 1).persist()
+    parts = str(shuffle_partitions(df))
     try:
-        sizes = {
-            row["feature"]: row
-            for row in top.groupBy("feature")
-            .agg(
-                F.count(F.lit(1)).alias("k"),
-                F.sum(F.octet_length("value")).alias("text_bytes"),
-            )
-            .collect()
-        }
+        with session_setting(df.sparkSession, "spark.sql.shuffle.partitions", parts):
+            sizes = {
+                row["feature"]: row
+                for row in top.groupBy("feature")
+                .agg(
+                    F.count(F.lit(1)).alias("k"),
+                    F.sum(F.octet_length("value")).alias("text_bytes"),
+                )
+                .collect()
+            }
         empty = [c for c in columns if c not in sizes]
         if empty:
             raise ValueError(f"columns without any value: {', '.join(empty)}")
@@ -176,7 +177,7 @@ def _lookup_inline(df: DataFrame, column: str, values: list[str], policy: str) -
 def _lookup_broadcast(df: DataFrame, column: str, values: list[str], policy: str) -> DataFrame:
     # At most MAX_CATEGORIES rows and MAX_CATEGORY_BYTES of text: checked when fitted.
     table = df.sparkSession.createDataFrame(
-        list(enumerate(values)), "__index bigint, __value string"
+        pa.table({"__index": pa.array(range(len(values)), pa.int64()), "__value": values})
     )
     joined = df.join(
         F.broadcast(table), F.col(column).cast("string") == F.col("__value"), "left"
@@ -188,22 +189,22 @@ def _lookup_broadcast(df: DataFrame, column: str, values: list[str], policy: str
 def _lookup_wide(df: DataFrame, column: str, ranked: DataFrame, policy: str) -> DataFrame:
     """Look up a column with too many categories to broadcast.
 
-    Its most frequent values are resolved by a bounded broadcast and so never
-    reach the shuffle; what is left has no known value more frequent than
-    1/HEAD_CATEGORIES of the rows. Nulls are kept out of the shuffle as well.
+    Its most frequent values, and nulls, are resolved by a bounded broadcast and
+    so never reach the shuffle; what is left has no known value more frequent
+    than 1/HEAD_CATEGORIES of the rows.
     """
     table = ranked.select(F.col("value").alias("__value"), F.col("index").alias("__index"))
     head = F.broadcast(table.where(F.col("__index") < HEAD_CATEGORIES))
     tail = table.where(F.col("__index") >= HEAD_CATEGORIES)
     total = ranked.count()
-    same = F.col(column).cast("string") == F.col("__value")
+    value = F.col(column)
+    same = value.cast("string") == F.col("__value")
 
-    present = df.where(F.col(column).isNotNull())
-    rare = present.join(head, same, "left_anti").join(tail, same, "left")
-    absent = df.where(F.col(column).isNull()).withColumns(
-        {"__value": F.lit(None).cast("string"), "__index": F.lit(None).cast("bigint")}
+    settled = df.join(head, same, "left").where(F.col("__index").isNotNull() | value.isNull())
+    rare = (
+        df.where(value.isNotNull()).join(head, same, "left_anti").join(tail, same, "left")
     )
-    joined = present.join(head, same).unionByName(rare).unionByName(absent)
+    joined = settled.unionByName(rare)
     index = _resolve(F.col("__index"), column, F.lit(total), policy)
     return joined.withColumn(column + INDEXED, index).drop("__index", "__value")
 

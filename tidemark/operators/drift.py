@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import standard_normal
-from tidemark.operators.histograms import Ranges, feature_ranges, histogram
+from tidemark.operators.histograms import MISSING, OUTSIDE, Ranges, feature_ranges, histogram
 from tidemark.spec import schema_differences
 
 # Number of bins, alarm level (strictly above), stand-in for an empty bin.
@@ -75,8 +75,8 @@ def psi_from_counts(counts: DataFrame, bins: int = BINS) -> DataFrame:
         found(NEW).alias("__new"),
         total(on(BASE)).alias("n_base"),
         total(on(NEW)).alias("n_new"),
-        total(on(NEW) & (F.col("bin") == -1)).alias("n_out_of_range"),
-        total(F.col("bin") == -2).alias("n_missing"),
+        total(on(NEW) & (F.col("bin") == OUTSIDE)).alias("n_out_of_range"),
+        total(F.col("bin") == MISSING).alias("n_missing"),
     )
     shares = grouped.withColumns(
         {

@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import edge_grid
 
+# Stand-ins for a bin number.
+OUTSIDE = -1
+MISSING = -2
+
 Ranges = dict[str, tuple[float, float] | None]
 
 
@@ -44,23 +48,32 @@ def feature_ranges(df: DataFrame, columns: Sequence[str]) -> Ranges:
     }
 
 
-def _slot(value: Column, edges: Column, first: Column, bins: int) -> Column:
-    """Bin of ``value``: how many inner edges are at or below it.
+def _bin_sql(bins: int) -> str:
+    """SQL for the bin of ``__value``: how many inner edges are at or below it.
 
     A search tree over comparisons with the actual edges, so a value lying on
     an edge always opens the bin to its right, which dividing by the bin width
-    would not guarantee.
+    would not guarantee. Its size depends on the number of bins only; the edges
+    of column number ``__at`` start at ``__at * (bins + 1)``.
     """
 
-    def search(low: int, high: int) -> Column:
+    def edge(i: int) -> str:
+        return f"get(__edges, __at * {bins + 1} + {i})"
+
+    def search(low: int, high: int) -> str:
         if low == high:
-            return F.lit(low)
+            return str(low)
         middle = (low + high + 1) // 2
-        return F.when(value >= F.get(edges, first + middle), search(middle, high)).otherwise(
-            search(low, middle - 1)
+        return (
+            f"CASE WHEN __value >= {edge(middle)} THEN {search(middle, high)} "
+            f"ELSE {search(low, middle - 1)} END"
         )
 
-    return search(0, bins - 1)
+    return (
+        f"CASE WHEN __value IS NULL THEN {MISSING} "
+        f"WHEN __value < {edge(0)} OR __value > {edge(bins)} THEN {OUTSIDE} "
+        f"ELSE {search(0, bins - 1)} END"
+    )
 
 
 def histogram(
@@ -69,7 +82,7 @@ def histogram(
     """``(*by, feature, bin, n)``: rows per bin of every column in ``ranges``.
 
     Bins are half-open, the last one closed. Values outside the range count as
-    bin -1 and missing ones (null, NaN) as bin -2, so nothing goes unreported.
+    bin OUTSIDE and missing ones (null, NaN) as bin MISSING: nothing goes unreported.
     Each row yields one number per column, counted inside its task; the shuffle
     carries one row per (by, column, bin) and task.
     """
@@ -77,21 +90,13 @@ def histogram(
     if not columns:
         raise ValueError("no column has a value range")
     grids = [edge_grid(*ranges[c], bins) for c in columns]
-    width = bins + 1
-    edges = F.array(*[F.lit(e) for grid in grids for e in grid])
+    # As text, not one literal column per edge: a single call to the JVM.
+    edges = F.expr(f"array({', '.join(f"double('{e!r}')" for grid in grids for e in grid)})")
     names = F.array(*[F.lit(c) for c in columns])
-
     values = F.array(*[_number(c) for c in columns])
-    long = df.select(*by, F.posexplode(values).alias("__at", "__value"))
-    value, first = F.col("__value"), F.col("__at") * width
-    inside = (value >= F.get(edges, first)) & (value <= F.get(edges, first + bins))
-    bin_ = (
-        F.when(value.isNull(), F.lit(-2))
-        .when(inside, _slot(value, edges, first, bins))
-        .otherwise(F.lit(-1))
-    )
+    long = df.select(*by, F.posexplode(values).alias("__at", "__value"), edges.alias("__edges"))
     counted = (
-        long.select(*by, "__at", bin_.alias("bin"))
+        long.select(*by, "__at", F.expr(_bin_sql(bins)).alias("bin"))
         .groupBy(*by, "__at", "bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )

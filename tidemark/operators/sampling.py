@@ -119,30 +119,38 @@ def split(
     return df.withColumn(column, F.when(draw < test_size, TEST).otherwise(TRAIN))
 
 
-def _cutoff_digest(df: DataFrame, mark: Column, wanted: int) -> str:
-    """The ``wanted``-th smallest digest, found a few hex digits per pass.
+def _cutoff_digest(df: DataFrame, mark: Column, test_size: float) -> str | None:
+    """The ceil(test_size * n)-th smallest digest, found a few hex digits per pass.
 
     Every pass counts rows by the next digits among those sharing the prefix
     settled so far: at most 16 ** 4 counts, whatever the table's size. Two or
     three passes settle it unless keys repeat.
     """
     hashed = df.select(mark.alias("d"))
-    prefix = ""
+    prefix, wanted = "", None
+    everything, upto = Window.partitionBy(), Window.orderBy("digits")
     while len(prefix) < _DIGEST_HEX:
         counts = (
             hashed.where(F.col("d").startswith(prefix))
             .groupBy(F.substring("d", len(prefix) + 1, _RADIX_HEX).alias("digits"))
             .agg(F.count(F.lit(1)).alias("n"))
         )
-        upto = F.sum("n").over(Window.orderBy("digits"))
+        # The first pass also learns the number of rows.
+        target = (
+            F.ceil(F.lit(test_size) * F.sum("n").over(everything))
+            if wanted is None
+            else F.lit(wanted)
+        )
         row = (
-            counts.withColumn("upto", upto)
-            .where(F.col("upto") >= wanted)
+            counts.select("digits", "n", F.sum("n").over(upto).alias("upto"), target.alias("target"))
+            .where((F.col("target") > 0) & (F.col("upto") >= F.col("target")))
             .orderBy("digits")
             .first()
         )
+        if row is None:
+            return None
         prefix += row["digits"]
-        wanted -= row["upto"] - row["n"]
+        wanted = row["target"] - (row["upto"] - row["n"])
         if row["n"] == 1:
             return hashed.where(F.col("d").startswith(prefix)).first()["d"]
     return prefix
@@ -162,11 +170,9 @@ def split_exact(
     passes over the key columns; marking is then a comparison per row.
     """
     mark = digest(list(key), salt)
-    total = df.count()
-    wanted = math.ceil(test_size * total)
-    if wanted == 0:
+    cutoff = _cutoff_digest(df, mark, test_size)
+    if cutoff is None:
         return df.withColumn(column, F.lit(TRAIN))
-    cutoff = _cutoff_digest(df, mark, wanted)
     return df.withColumn(column, F.when(mark <= cutoff, TEST).otherwise(TRAIN))
 
 

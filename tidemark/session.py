@@ -9,6 +9,9 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+SHUFFLE_BYTES = 512 << 20  # input per shuffle partition
+UNKNOWN_BYTES = 1 << 60  # Spark reports a size like this when it knows none
+
 # Kept alive so that the folder goes away with the process (local runs only).
 _local_folders: dict[str, tempfile.TemporaryDirectory] = {}
 
@@ -22,6 +25,8 @@ def local_session(cores: int | str = "*", memory: str = "8g", app: str = "tidema
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        # Recording a call site for every column expression costs more than planning.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 
@@ -54,14 +59,36 @@ def use_checkpoints(spark: SparkSession) -> None:
         context.setCheckpointDir(f"{shared_folder(spark)}/checkpoints")
 
 
+def input_bytes(df: DataFrame) -> int | None:
+    """Total size of the tables ``df`` reads, or None if Spark cannot tell."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    total = sum(sizes)
+    return total if total < UNKNOWN_BYTES else None
+
+
+def shuffle_partitions(df: DataFrame) -> int:
+    """How many partitions a shuffle of ``df`` should have.
+
+    Never fewer than the session says; on large input, enough for each to fit
+    in memory. Adaptive execution merges those that turn out small.
+    """
+    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = input_bytes(df)
+    return configured if size is None else max(configured, -(-size // SHUFFLE_BYTES))
+
+
 def stage_at(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` to ``path`` and read it back.
+    """Write ``df`` to ``path`` and read it back, with shuffles sized to the input.
 
     Cuts lineage so that later passes neither repeat a shuffle nor depend on
     lost executors, and, unlike a checkpoint, keeps column pruning and pushdown.
     """
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    parts = str(shuffle_partitions(df))
+    with session_setting(spark, "spark.sql.shuffle.partitions", parts):
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

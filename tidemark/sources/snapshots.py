@@ -69,3 +69,11 @@ def read_snapshot_csv(
     """Both sides of a CSV snapshot as one table."""
     folder = root.rstrip("/")
     return read_csv(spark, [f"{folder}/{snapshot_id}_{s}" for s in (TRAIN, TEST)], schema)
+
+
+def read_feature_files(
+    spark: SparkSession, root: str, snapshot_id: str, schema: str | None = None
+) -> DataFrame:
+    """Features of a snapshot kept as ``<id>_x_train.csv`` and ``<id>_x_test.csv``."""
+    folder = root.rstrip("/")
+    return read_csv(spark, [f"{folder}/{snapshot_id}_x_{s}.csv" for s in (TRAIN, TEST)], schema)
