@@ -21,9 +21,25 @@ def test_what_has_no_statement_is_random_or_fitted():
     assert set(QUERIES) - set(ORACLE) == fitted | {"batch_score", "balance_by_sampling"}
 
 
+# Plans that grow faster than the data, sort it to aggregate, or leave the JVM.
+UNWANTED = (
+    "CartesianProduct",
+    "BroadcastNestedLoopJoin",
+    "SortAggregate",
+    "BatchEvalPython",
+    "ArrowEvalPython",
+    "InPandas",
+)
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_same_as_sql(spark, data, duck, name):
-    assert difference(QUERIES[name](spark, data), duck, ORACLE[name]) is None
+    result = QUERIES[name](spark, data)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    # A ledger's last record is one unsorted aggregate over a handful of records.
+    allowed = {"SortAggregate"} if name == "ledger_last" else set()
+    assert [word for word in UNWANTED if word in plan and word not in allowed] == []
+    assert difference(result, duck, ORACLE[name]) is None
 
 
 def test_entry_runs(spark):

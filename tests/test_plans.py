@@ -1,0 +1,96 @@
+"""Physical plans of the operators that must hold at any size."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.operators import categories, clean, drift, histograms, sampling, scaling
+from tidemark.sources import ledgers, snapshots
+from tidemark.spec import FeatureSpec
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def orders(spark, data):
+    return spark.read.parquet(f"{data}/orders.parquet")
+
+
+@pytest.fixture(scope="module")
+def lines(spark, data):
+    return spark.read.parquet(f"{data}/lineitem.parquet")
+
+
+def narrow(orders):
+    yield "split", sampling.split(orders, ["o_orderkey"])
+    yield "split_exact", sampling.split_exact(orders, ["o_orderkey"])
+    yield "balance", sampling.balance(orders, "o_orderstatus", ["o_orderkey"])
+    fitted = scaling.fit_scaler(orders, ["o_totalprice"])
+    yield "scale", scaling.apply_scaler(orders, fitted)
+    index = categories.fit_index(orders, ["o_orderstatus", "o_orderpriority"])
+    yield "index", categories.apply_index(orders, index)
+    yield "shift", drift.inject_shift(orders, "o_totalprice", "x", key=["o_orderkey"])
+
+
+def test_row_wise_operators_do_not_shuffle(orders):
+    for name, df in narrow(orders):
+        assert "Exchange" not in plan_of(df), name
+
+
+def test_fitting_reads_only_its_columns(lines):
+    stats = plan_of(scaling.numeric_stats(lines, ["l_quantity"]))
+    assert "ReadSchema: struct<l_quantity:double>" in stats
+    counts = plan_of(categories.category_counts(lines, ["l_returnflag"]))
+    assert "ReadSchema: struct<l_returnflag:string>" in counts
+    binned = plan_of(histograms.histogram(lines, {"l_tax": (0.0, 1.0)}))
+    assert "ReadSchema: struct<l_tax:double>" in binned
+
+
+def test_aggregations_combine_before_the_shuffle(lines):
+    for df in (
+        categories.category_counts(lines, ["l_returnflag", "l_linestatus"]),
+        histograms.histogram(lines, {"l_tax": (0.0, 1.0)}),
+        sampling.class_counts(lines, "l_returnflag"),
+        clean.drop_duplicates(lines.select("l_tax", "l_discount")),
+        ledgers.latest_per_group(lines, ["l_returnflag"], "l_orderkey", ["l_tax"]),
+    ):
+        plan = plan_of(df)
+        assert plan.count("HashAggregate") == 2 and plan.count("Exchange") == 1
+
+
+def test_incomplete_rows_are_dropped_before_the_shuffle(orders):
+    spec = FeatureSpec(label="o_orderstatus", drop=["o_orderkey"], to_double=["o_totalprice"])
+    plan = plan_of(clean.clean(orders, spec))
+    assert plan.index("Exchange") < plan.index("Filter")  # printed from the last step down
+
+
+def test_ranked_groups_are_limited_within_each_task(lines):
+    plan = plan_of(ledgers.recent(lines, 2, [F.col("l_shipdate").desc()], ["l_returnflag"]))
+    assert plan.count("WindowGroupLimit") == 2
+    assert "TakeOrderedAndProject" in plan_of(ledgers.recent(lines, 2, [F.col("l_tax").desc()]))
+    top = plan_of(categories.top_categories(lines, ["l_partkey"], 10))
+    assert top.count("WindowGroupLimit") == 2
+
+
+def test_a_snapshot_side_is_pruned_and_written_unsorted(spark, orders, tmp_path):
+    df = sampling.split(orders, ["o_orderkey"])
+    snapshots.write_snapshot(df, str(tmp_path), "20240101000000")
+    executions = spark._jsparkSession.sharedState().statusStore().executionsList()
+    written = executions.apply(executions.size() - 1).physicalPlanDescription()
+    assert "WriteFiles" in written and "Sort" not in written
+    side = snapshots.read_snapshot(spark, str(tmp_path), "20240101000000", "test")
+    plan = plan_of(side.select("o_custkey"))
+    assert "ReadSchema: struct<o_custkey:bigint>" in plan
+    assert "(split#" in plan.split("PartitionFilters:")[1].split("PushedFilters")[0]
+
+
+def test_wide_lookup_keeps_frequent_values_off_the_shuffle(spark, orders):
+    index = categories.fit_index(orders, ["o_custkey"], max_categories=10)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(categories.apply_index(orders, index))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Frequent values and nulls: broadcast only. The rest: an anti join, then a shuffle join.
+    assert "LeftAnti" in plan and plan.count("SortMergeJoin") == 1

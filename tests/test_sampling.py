@@ -4,6 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.functions import drawn, hex_bound, uniform
 from tidemark.operators.sampling import (
     balance,
     balance_by_sampling,
@@ -75,6 +76,14 @@ def test_null_labels_have_no_class(spark):
     assert Counter(r["y"] for r in balance(df, "y").collect()) == {"a": 2, "b": 2}
 
 
+@pytest.mark.parametrize("share", [0.0, 0.2, 1 / 3, 0.999999, 1.0])
+def test_text_comparison_equals_the_number(spark, share):
+    df = spark.range(3000).select(
+        (uniform(["id"], "s") < share).alias("a"), drawn(["id"], "s", hex_bound(share)).alias("b")
+    )
+    assert df.where("a <> b").count() == 0
+
+
 def test_split_is_a_partition_and_stable(spark):
     df = spark.range(5000)
     first = {r["id"]: r["split"] for r in split(df.repartition(3), ["id"]).collect()}
@@ -93,6 +102,11 @@ def test_exact_split_size(spark, n):
     assert sizes.get("train", 0) == n - math.ceil(0.2 * n)
 
 
+def test_exact_split_in_several_passes(spark, monkeypatch):
+    monkeypatch.setattr("tidemark.operators.sampling._LISTED", 2)
+    assert split_exact(spark.range(3000), ["id"]).where("split = 'test'").count() == 600
+
+
 def test_exact_split_keeps_equal_keys_together(spark):
     # One key holds a third of all rows.
     df = spark.createDataFrame([(0,)] * 500 + [(i,) for i in range(1, 1001)], "id int")

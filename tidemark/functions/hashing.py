@@ -26,10 +26,36 @@ def digest(keys: Sequence[str | Column], salt: str) -> Column:
     return F.md5(F.concat_ws("|", F.lit(salt), *parts))
 
 
+def _word(keys: Sequence[str | Column], salt: str, word: int) -> Column:
+    return F.substring(digest(keys, salt), 1 + word * _WORD_HEX, _WORD_HEX)
+
+
 def uniform(keys: Sequence[str | Column], salt: str, word: int = 0) -> Column:
     """A draw in [0, 1) per key; ``word`` (0-3) picks independent digest parts."""
-    hex_digits = F.substring(digest(keys, salt), 1 + word * _WORD_HEX, _WORD_HEX)
-    return F.conv(hex_digits, 16, 10).cast("double") / F.lit(_WORD_SPAN)
+    return F.conv(_word(keys, salt, word), 16, 10).cast("double") / F.lit(_WORD_SPAN)
+
+
+def hex_bound(share: float) -> str:
+    """The hex digits that draws below ``share`` sort before.
+
+    A draw is k / 2**32 for a whole k, so ``draw < share`` says that k is below
+    share * 2**32 rounded up, and digits of equal length sort like numbers.
+    """
+    bound = math.ceil(share * _WORD_SPAN)
+    return "g" if bound >= _WORD_SPAN else f"{max(bound, 0):0{_WORD_HEX}x}"
+
+
+def drawn(keys: Sequence[str | Column], salt: str, bound: str | Column) -> Column:
+    """``uniform(keys, salt) < share`` given :func:`hex_bound` of the share.
+
+    Compares digits as text, sparing every row the conversion to a number.
+    """
+    return _word(keys, salt, 0) < (F.lit(bound) if isinstance(bound, str) else bound)
+
+
+def values_hash(columns: Sequence[str]) -> Column:
+    """A 64-bit hash of a row's values, standing in for a key where there is none."""
+    return F.xxhash64(*[F.col(c) for c in columns])
 
 
 def standard_normal(keys: Sequence[str | Column], salt: str) -> Column:

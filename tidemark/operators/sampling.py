@@ -5,22 +5,23 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import digest, uniform
+from tidemark.functions import digest, drawn, hex_bound, values_hash
 
 TRAIN = "train"
 TEST = "test"
 MAX_CLASSES = 1_000  # label values whose counts are brought to the driver
 COPIES_PER_BLOCK = 64  # copies one input row may become within one task
 _RADIX_HEX = 4  # hex digits settled per pass of the exact split
-_DIGEST_HEX = 32
+_RADIX_PASSES = 3  # after which no two of 16 ** 12 keys are likely to be left
+_LISTED = 100_000  # rows few enough to order by their whole digests
 
 
 def _identity(df: DataFrame, key: Sequence[str]) -> list[str | Column]:
     """What a row's draw hangs on: its key or, without one, all its values."""
-    return list(key) or [F.xxhash64(*[F.col(c) for c in df.columns])]
+    return list(key) or [values_hash(df.columns)]
 
 
 def class_counts(df: DataFrame, label: str) -> DataFrame:
@@ -39,7 +40,7 @@ def oversampling_ratios(df: DataFrame, label: str) -> dict[object, float]:
     return {row[label]: largest / row["n"] for row in rows}
 
 
-def _per_class(label: str, values: dict[object, float], default: float) -> Column:
+def _per_class(label: str, values: dict[object, object], default: object) -> Column:
     expression = F
     for value, result in values.items():
         expression = expression.when(F.col(label) == F.lit(value), F.lit(result))
@@ -64,10 +65,10 @@ def balance(
     to no class and are dropped.
     """
     ratios = oversampling_ratios(df, label) if ratios is None else ratios
-    draw = uniform(_identity(df, key), salt)
     whole = _per_class(label, {k: int(math.floor(r)) for k, r in ratios.items()}, 1)
-    part = _per_class(label, {k: r - math.floor(r) for k, r in ratios.items()}, 0.0)
-    copies = whole + F.when(draw < part, 1).otherwise(0)
+    bounds = {k: hex_bound(r - math.floor(r)) for k, r in ratios.items()}
+    extra = drawn(_identity(df, key), salt, _per_class(label, bounds, hex_bound(0.0)))
+    copies = whole + extra.cast("int")
     if only is not None:
         copies = F.when(only, copies).otherwise(1)
     sized = df.where(F.col(label).isNotNull()).withColumn("__copies", copies)
@@ -115,45 +116,45 @@ def split(
     Rows with equal keys stay on one side. The test share is ``test_size`` up
     to sampling error; :func:`split_exact` meets it exactly.
     """
-    draw = uniform(_identity(df, key), salt)
-    return df.withColumn(column, F.when(draw < test_size, TEST).otherwise(TRAIN))
+    chosen = drawn(_identity(df, key), salt, hex_bound(test_size))
+    return df.withColumn(column, F.when(chosen, TEST).otherwise(TRAIN))
 
 
 def _cutoff_digest(df: DataFrame, mark: Column, test_size: float) -> str | None:
     """The ceil(test_size * n)-th smallest digest, found a few hex digits per pass.
 
-    Every pass counts rows by the next digits among those sharing the prefix
-    settled so far: at most 16 ** 4 counts, whatever the table's size. Two or
-    three passes settle it unless keys repeat.
+    A pass counts rows by the next digits among those sharing the prefix settled
+    so far: at most 16 ** 4 counts, whatever the table's size. The digests left
+    at the end are few, even if many rows carry the same one.
     """
     hashed = df.select(mark.alias("d"))
-    prefix, wanted = "", None
-    everything, upto = Window.partitionBy(), Window.orderBy("digits")
-    while len(prefix) < _DIGEST_HEX:
+
+    def step(prefix: str, next_part: Column, target: Column) -> Row | None:
         counts = (
             hashed.where(F.col("d").startswith(prefix))
-            .groupBy(F.substring("d", len(prefix) + 1, _RADIX_HEX).alias("digits"))
+            .groupBy(next_part.alias("part"))
             .agg(F.count(F.lit(1)).alias("n"))
         )
-        # The first pass also learns the number of rows.
-        target = (
-            F.ceil(F.lit(test_size) * F.sum("n").over(everything))
-            if wanted is None
-            else F.lit(wanted)
-        )
-        row = (
-            counts.select("digits", "n", F.sum("n").over(upto).alias("upto"), target.alias("target"))
+        upto = F.sum("n").over(Window.orderBy("part"))
+        return (
+            counts.select("part", "n", upto.alias("upto"), target.alias("target"))
             .where((F.col("target") > 0) & (F.col("upto") >= F.col("target")))
-            .orderBy("digits")
+            .orderBy("part")
             .first()
         )
+
+    # The first pass also learns the number of rows.
+    target = F.ceil(F.lit(test_size) * F.sum("n").over(Window.partitionBy()))
+    prefix = ""
+    for _ in range(_RADIX_PASSES):
+        row = step(prefix, F.substring("d", len(prefix) + 1, _RADIX_HEX), target)
         if row is None:
             return None
-        prefix += row["digits"]
-        wanted = row["target"] - (row["upto"] - row["n"])
-        if row["n"] == 1:
-            return hashed.where(F.col("d").startswith(prefix)).first()["d"]
-    return prefix
+        prefix += row["part"]
+        target = F.lit(row["target"] - (row["upto"] - row["n"]))
+        if row["n"] <= _LISTED:
+            break
+    return step(prefix, F.col("d"), target)["part"]
 
 
 def split_exact(

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions import values_hash
 from tidemark.operators.categories import CategoryIndex, apply_index, fit_index
 from tidemark.operators.clean import clean, select_features
 from tidemark.operators.sampling import TRAIN, balance, oversampling_ratios, split
@@ -112,7 +113,7 @@ def prepare(
     numeric, categorical = spec.roles(cleaned)
     key = list(spec.key)
     if not key:
-        cleaned = cleaned.withColumn(_ROW, F.xxhash64(*[F.col(c) for c in cleaned.columns]))
+        cleaned = cleaned.withColumn(_ROW, values_hash(cleaned.columns))
         key = [_ROW]
     early = order == "split_first"
     path = scratch_path(df.sparkSession, "cleaned")
