@@ -64,17 +64,23 @@ def _by_frequency() -> list[Column]:
 
 
 def top_categories(df: DataFrame, columns: Sequence[str], limit: int) -> DataFrame:
-    """``(feature, value, n, index)`` of the ``limit`` most frequent values.
+    """``(feature, value, n, index, text_bytes)`` of the ``limit`` most frequent values.
 
-    The rank filter is applied inside each task before the shuffle, so no task
-    ever receives all values of a wide column.
+    ``text_bytes`` adds up the text of a value and those before it. The limit is
+    applied inside each task before the shuffle, so no task ever receives all
+    values of a wide column.
     """
     window = Window.partitionBy("feature").orderBy(*_by_frequency())
+    text_bytes = F.sum(F.octet_length("value")).over(
+        window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
     return (
         category_counts(df, columns)
-        .withColumn("rank", F.row_number().over(window))
+        .withColumns({"rank": F.row_number().over(window), "text_bytes": text_bytes})
         .where(F.col("rank") <= limit)
-        .select("feature", "value", "n", (F.col("rank") - 1).cast("bigint").alias("index"))
+        .select(
+            "feature", "value", "n", (F.col("rank") - 1).cast("bigint").alias("index"), "text_bytes"
+        )
     )
 
 
@@ -117,33 +123,24 @@ def fit_index(
     """Learn every column's categories: by frequency, ties in text order."""
     if not columns:
         return CategoryIndex({})
-    top = top_categories(df, columns, max_categories + 1).persist()
+    # One job; at most max_categories + 1 values and max_bytes of text per column.
+    top = top_categories(df, columns, max_categories + 1).select(
+        "feature", "index", F.when(F.col("text_bytes") <= max_bytes, F.col("value")).alias("value")
+    )
     parts = str(shuffle_partitions(df))
-    try:
-        with session_setting(df.sparkSession, "spark.sql.shuffle.partitions", parts):
-            sizes = {
-                row["feature"]: row
-                for row in top.groupBy("feature")
-                .agg(
-                    F.count(F.lit(1)).alias("k"),
-                    F.sum(F.octet_length("value")).alias("text_bytes"),
-                )
-                .collect()
-            }
-        empty = [c for c in columns if c not in sizes]
-        if empty:
-            raise ValueError(f"columns without any value: {', '.join(empty)}")
-        small = [
-            c
-            for c in columns
-            if sizes[c]["k"] <= max_categories and sizes[c]["text_bytes"] <= max_bytes
-        ]
-        labels: dict[str, list[str]] = {c: [] for c in small}
-        kept = top.where(F.col("feature").isin(small)).select("feature", "value", "index")
-        for row in sorted(kept.collect(), key=lambda r: r["index"]):
-            labels[row["feature"]].append(row["value"])
-    finally:
-        top.unpersist()
+    with session_setting(df.sparkSession, "spark.sql.shuffle.partitions", parts):
+        rows = top.collect()
+    found: dict[str, list[str | None]] = {c: [] for c in columns}
+    for row in sorted(rows, key=lambda r: r["index"]):
+        found[row["feature"]].append(row["value"])
+    empty = [c for c, values in found.items() if not values]
+    if empty:
+        raise ValueError(f"columns without any value: {', '.join(empty)}")
+    labels = {
+        c: values
+        for c, values in found.items()
+        if len(values) <= max_categories and values[-1] is not None
+    }
     wide = {
         c: stage(rank_categories(df, c), "category-index") for c in columns if c not in labels
     }

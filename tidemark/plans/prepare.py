@@ -122,6 +122,8 @@ def prepare(
     learn_from = staged.where(in_train) if early else staged
     if state is None:
         state = fit_state(learn_from, numeric, [*categorical, spec.label])
+    if spec.label not in state.index.labels:
+        raise ValueError(f"{spec.label} has too many values for a class label")
     label = spec.label + INDEXED
 
     kept = [*key, SPLIT] if early else key
