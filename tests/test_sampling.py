@@ -59,6 +59,18 @@ def test_balancing_only_some_rows(spark):
     assert out.where(~even).groupBy("id").count().where("count > 1").count() == 0
 
 
+def test_a_rare_class_alone_is_redistributed(spark):
+    # Many equal rows in a class to be repeated 100 times.
+    rows = [("usual", i) for i in range(4000)] + [("rare", -1)] * 40
+    df = spark.createDataFrame(rows, "y string, id int").coalesce(1)
+    out = balance(df, "y", ["id"], copy_column="copy_no")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Union" in plan
+    assert Counter(r["y"] for r in out.collect()) == {"usual": 4000, "rare": 4000}
+    per_task = out.where("y = 'rare'").groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in per_task) < 2000
+
+
 def test_balancing_needs_two_classes(spark):
     with pytest.raises(ValueError, match="nothing to balance"):
         balance(classes(spark, {"a": 5}), "y")

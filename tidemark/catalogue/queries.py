@@ -23,7 +23,16 @@ from tidemark.catalogue.inputs import (
     ruled_lines,
 )
 from tidemark.functions import snapshot_stamp
-from tidemark.operators import categories, clean, drift, histograms, metrics, models, sampling, scaling
+from tidemark.operators import (
+    categories,
+    clean,
+    drift,
+    histograms,
+    metrics,
+    models,
+    sampling,
+    scaling,
+)
 from tidemark.plans import lifecycle
 from tidemark.plans.prepare import prepare, prepare_snapshot
 from tidemark.session import scratch_path
@@ -346,9 +355,8 @@ def feature_vector(spark, folder):
 def _rounded(prepared) -> DataFrame:
     table = prepared.table
     numbers = [c for c in table.columns if c.endswith(("_scaled", "_indexed"))]
-    return table.select(
-        "split", F.col("copy_no").cast("bigint").alias("copy_no"), *[r6(c).alias(c) for c in numbers]
-    )
+    copy_no = F.col("copy_no").cast("bigint").alias("copy_no")
+    return table.select("split", copy_no, *[r6(c).alias(c) for c in numbers])
 
 
 @query
@@ -474,7 +482,8 @@ def bin_densities(spark, folder):
     events = load(spark, folder, "events")
     counts = histograms.histogram(events, histograms.feature_ranges(events, ["value"]), bins=20)
     full = histograms.with_empty_bins(counts, 20)
-    listed = full.groupBy("feature").agg(F.sort_array(F.collect_list(F.struct("bin", "n"))).alias("c"))
+    in_order = F.sort_array(F.collect_list(F.struct("bin", "n")))
+    listed = full.groupBy("feature").agg(in_order.alias("c"))
     shares = drift.densities(F.col("c.n"))
     return listed.select("feature", F.posexplode(shares).alias("bin", "density")).select(
         "feature", F.col("bin").cast("bigint").alias("bin"), F.round("density", 12).alias("density")
@@ -655,11 +664,10 @@ def run_and_promote(spark, folder):
             registry, "quality", label, overrides=small
         )
         decisions.append((stamp, decision, reason))
-    verdicts = spark.createDataFrame(decisions, "snapshot_id string, decision string, reason string")
+    schema = "snapshot_id string, decision string, reason string"
+    verdicts = spark.createDataFrame(decisions, schema)
     runs = registry.runs.read().groupBy("snapshot_id").agg(F.count(F.lit(1)).alias("n_runs"))
-    promoted = registry.promotions.read().select(
-        "snapshot_id", "version", F.col("stage").alias("stage")
-    )
+    promoted = registry.promotions.read().select("snapshot_id", "version", "stage")
     return (
         registry.snapshots.read()
         .select("snapshot_id", "n_rows")

@@ -140,7 +140,8 @@ def _literal_pairs(ranges: Ranges, end: int) -> list[Column]:
 def psi_against_profile(stored: DataFrame, new: DataFrame, bins: int = BINS) -> DataFrame:
     """PSI of ``new`` against a stored :func:`profile`, without the baseline rows."""
     spans = stored.select("feature", "lo", "hi").distinct().collect()
-    ranges: Ranges = {r["feature"]: (r["lo"], r["hi"]) for r in spans if r["feature"] in new.columns}
+    spans = [r for r in spans if r["feature"] in new.columns]
+    ranges: Ranges = {r["feature"]: (r["lo"], r["hi"]) for r in spans}
     fresh = histogram(new, ranges, bins).withColumn("side", F.lit(NEW))
     kept = stored.where(F.col("feature").isin(list(ranges))).select(
         "feature", "bin", "n", F.lit(BASE).alias("side")

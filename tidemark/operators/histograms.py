@@ -91,7 +91,8 @@ def histogram(
         raise ValueError("no column has a value range")
     grids = [edge_grid(*ranges[c], bins) for c in columns]
     # As text, not one literal column per edge: a single call to the JVM.
-    edges = F.expr(f"array({', '.join(f"double('{e!r}')" for grid in grids for e in grid)})")
+    literals = [f"double('{edge!r}')" for grid in grids for edge in grid]
+    edges = F.expr(f"array({', '.join(literals)})")
     names = F.array(*[F.lit(c) for c in columns])
     values = F.array(*[_number(c) for c in columns])
     long = df.select(*by, F.posexplode(values).alias("__at", "__value"), edges.alias("__edges"))

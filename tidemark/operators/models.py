@@ -82,7 +82,8 @@ def train(
         overrides["regParam"] = 1.0 / max(df.count(), 1)
     inputs = list(columns) if columns is not None else feature_columns(df, label)
     needed = df.select(*inputs, F.col(label).cast("double").alias(label))
-    return Pipeline(stages=[assembler(inputs), estimator(algorithm, label, **overrides)]).fit(needed)
+    stages = [assembler(inputs), estimator(algorithm, label, **overrides)]
+    return Pipeline(stages=stages).fit(needed)
 
 
 def input_schema(df: DataFrame, label: str) -> T.StructType:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import digest, drawn, hex_bound, values_hash
+from tidemark.session import shuffle_partitions
 
 TRAIN = "train"
 TEST = "test"
@@ -31,7 +32,8 @@ def class_counts(df: DataFrame, label: str) -> DataFrame:
 
 def oversampling_ratios(df: DataFrame, label: str) -> dict[object, float]:
     """Per class, how often each row must appear to match the largest class."""
-    rows = class_counts(df.where(F.col(label).isNotNull()), label).limit(MAX_CLASSES + 1).collect()
+    labelled = df.where(F.col(label).isNotNull())
+    rows = class_counts(labelled, label).limit(MAX_CLASSES + 1).collect()
     if len(rows) > MAX_CLASSES:
         raise ValueError(f"{label} has more than {MAX_CLASSES} values: not a class label")
     if len(rows) < 2:
@@ -41,10 +43,11 @@ def oversampling_ratios(df: DataFrame, label: str) -> dict[object, float]:
 
 
 def _per_class(label: str, values: dict[object, object], default: object) -> Column:
-    expression = F
+    """``values[class]`` as a CASE expression over the label."""
+    chain = F  # the first ``when`` is a function, the following are methods of its result
     for value, result in values.items():
-        expression = expression.when(F.col(label) == F.lit(value), F.lit(result))
-    return expression.otherwise(F.lit(default))
+        chain = chain.when(F.col(label) == F.lit(value), F.lit(result))
+    return chain.otherwise(F.lit(default))
 
 
 def balance(
@@ -61,8 +64,8 @@ def balance(
     Each row of a class with ratio r appears floor(r) times and, for a share of
     rows chosen by key hash, once more. All rows of the largest class are kept
     once. ``copy_column``, if given, numbers a row's copies from 1. Rows for which
-    ``only`` does not hold are passed through once. Rows with a null label belong
-    to no class and are dropped.
+    ``only`` does not hold, or whose class has no ratio, are passed through once.
+    Rows with a null label belong to no class and are dropped.
     """
     ratios = oversampling_ratios(df, label) if ratios is None else ratios
     whole = _per_class(label, {k: int(math.floor(r)) for k, r in ratios.items()}, 1)
@@ -73,20 +76,29 @@ def balance(
         copies = F.when(only, copies).otherwise(1)
     sized = df.where(F.col(label).isNotNull()).withColumn("__copies", copies)
     name = copy_column or "__copy"
-    if max(ratios.values()) <= COPIES_PER_BLOCK:
-        out = sized.withColumn(name, F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-    else:
-        # A rare class: hand out blocks of copies so that no task makes them all.
-        last_block = F.floor((F.col("__copies") - 1) / COPIES_PER_BLOCK).cast("int")
-        blocks = sized.withColumn("__block", F.explode(F.sequence(F.lit(0), last_block)))
-        spread = blocks.repartition(F.xxhash64(*[F.col(c) for c in [*df.columns, "__block"]]))
-        first = F.col("__block") * COPIES_PER_BLOCK + 1
-        last = F.least(first + (COPIES_PER_BLOCK - 1), F.col("__copies"))
-        out = spread.withColumn(name, F.explode(F.sequence(first, last))).drop("__block")
+    rare = [value for value, ratio in ratios.items() if ratio > COPIES_PER_BLOCK]
+    is_rare = F.col(label).isin(rare)
+    usual = sized.where(~is_rare) if rare else sized
+    out = usual.withColumn(name, F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+    if rare:
+        out = out.unionByName(_spread_copies(sized.where(is_rare), name, shuffle_partitions(df)))
     out = out.drop("__copies")
     return out if copy_column else out.drop(name)
 
 
+def _spread_copies(sized: DataFrame, name: str, parts: int) -> DataFrame:
+    """Number ``__copies`` copies of few rows, so that no task makes all copies of one.
+
+    Only blocks of copies are shuffled, evenly; the rows of usual classes are not.
+    """
+    last_block = F.floor((F.col("__copies") - 1) / COPIES_PER_BLOCK).cast("int")
+    blocks = sized.withColumn("__block", F.explode(F.sequence(F.lit(0), last_block)))
+    first = F.col("__block") * COPIES_PER_BLOCK + 1
+    last = F.least(first + (COPIES_PER_BLOCK - 1), F.col("__copies"))
+    spread = blocks.repartition(parts)
+    return spread.withColumn(name, F.explode(F.sequence(first, last))).drop("__block")
+
+
 def balance_by_sampling(
     df: DataFrame, label: str, seed: int, ratios: dict[object, float] | None = None
 ) -> DataFrame:

@@ -16,7 +16,9 @@ UNKNOWN_BYTES = 1 << 60  # Spark reports a size like this when it knows none
 _local_folders: dict[str, tempfile.TemporaryDirectory] = {}
 
 
-def local_session(cores: int | str = "*", memory: str = "8g", app: str = "tidemark") -> SparkSession:
+def local_session(
+    cores: int | str = "*", memory: str = "8g", app: str = "tidemark"
+) -> SparkSession:
     """A single-machine session for tests and benchmarks."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
