@@ -78,7 +78,7 @@ def test_unseen_and_null_values(spark):
 def test_lookups_of_every_size_agree(spark):
     random.seed(2)
     values = [f"v{int(random.paretovariate(0.6)) % 3000}" for _ in range(6000)]
-    values += ["hot"] * 3000 + [None] * 500
+    values += ["hot"] * 3000 + [None] * 500 + ["long " * 50] * 700 + ["long " * 51] * 3
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v string")
     as_list = fit_index(df, ["v"])
     as_table = fit_index(df, ["v"], max_categories=100)
@@ -90,7 +90,9 @@ def test_lookups_of_every_size_agree(spark):
     assert {r["id"]: r["v_indexed"] for r in got} == want
     unseen = spark.createDataFrame([(0, "never"), (1, "hot")], "id int, v string")
     k = len(as_list.labels["v"])
-    assert sorted(r["v_indexed"] for r in apply_index(unseen, as_table).collect()) == [0.0, float(k)]
+    indexed = apply_index(unseen, as_table).collect()
+    assert sorted(r["v_indexed"] for r in indexed) == [0.0, float(k)]
+    assert as_table.sizes() == as_list.sizes() == {"v": k}
     assert apply_index(unseen, as_table, "skip").count() == 1
 
 

@@ -42,8 +42,9 @@ class CategoryIndex:
         return [*self.labels, *self.wide]
 
     def sizes(self) -> dict[str, int]:
-        """Number of categories of each bounded column."""
-        return {column: len(values) for column, values in self.labels.items()}
+        """Number of categories of each column."""
+        sizes = {column: len(values) for column, values in self.labels.items()}
+        return {**sizes, **{column: table.count() for column, table in self.wide.items()}}
 
 
 def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -183,27 +184,33 @@ def _lookup_broadcast(df: DataFrame, column: str, values: list[str], policy: str
     return joined.withColumn(column + INDEXED, index).drop("__index", "__value")
 
 
+def _short_key(value: Column) -> Column:
+    """The text itself or, if long, its SHA-256: never more than 65 bytes."""
+    return F.when(F.octet_length(value) <= 64, F.concat(F.lit("="), value)).otherwise(
+        F.concat(F.lit("#"), F.sha2(value, 256))
+    )
+
+
 def _lookup_wide(df: DataFrame, column: str, ranked: DataFrame, policy: str) -> DataFrame:
     """Look up a column with too many categories to broadcast.
 
-    Its most frequent values, and nulls, are resolved by a bounded broadcast and
-    so never reach the shuffle; what is left has no known value more frequent
-    than 1/HEAD_CATEGORIES of the rows.
+    Its most frequent values, and nulls, are resolved by a broadcast of at most
+    HEAD_CATEGORIES short keys and so never reach the shuffle; what is left has
+    no known value more frequent than 1/HEAD_CATEGORIES of the rows.
     """
-    table = ranked.select(F.col("value").alias("__value"), F.col("index").alias("__index"))
+    table = ranked.select(_short_key(F.col("value")).alias("__key"), F.col("index").alias("__index"))
     head = F.broadcast(table.where(F.col("__index") < HEAD_CATEGORIES))
     tail = table.where(F.col("__index") >= HEAD_CATEGORIES)
     total = ranked.count()
     value = F.col(column)
-    same = value.cast("string") == F.col("__value")
+    same = _short_key(value.cast("string")) == F.col("__key")
 
     settled = df.join(head, same, "left").where(F.col("__index").isNotNull() | value.isNull())
-    rare = (
-        df.where(value.isNotNull()).join(head, same, "left_anti").join(tail, same, "left")
-    )
+    present = df.where(value.isNotNull())
+    rare = present.join(head, same, "left_anti").join(tail, same, "left")
     joined = settled.unionByName(rare)
     index = _resolve(F.col("__index"), column, F.lit(total), policy)
-    return joined.withColumn(column + INDEXED, index).drop("__index", "__value")
+    return joined.withColumn(column + INDEXED, index).drop("__index", "__key")
 
 
 def apply_index(df: DataFrame, index: CategoryIndex, invalid: str = "keep") -> DataFrame:
