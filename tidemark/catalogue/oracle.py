@@ -325,9 +325,15 @@ _SHIFTED = f"""unpivot (select
          else l_quantity * 1.5::double + {NORMAL} end l_extendedprice, l_discount from lineitem)
   on l_quantity, l_extendedprice, l_discount into name feature value v"""
 ORACLE["psi_from_profile"] = psi_query(_SHIFTED)
-_REPORT = f"""with {psi(_SHIFTED)},
-  rep as (select {_PSI_COLUMNS}, psi > 0.25 drifted, 'compared' status
-          from p join k using (feature))"""
+
+
+def report(ranges: str) -> str:
+    return f"""with {psi(_SHIFTED, ranges)},
+      rep as (select {_PSI_COLUMNS}, psi > 0.25 drifted, 'compared' status
+              from p join k using (feature))"""
+
+
+_REPORT = report(_BASE_RANGE)
 ORACLE["drift_report"] = f"{_REPORT} select * from rep"
 ORACLE["drift_report_missing_feature"] = f"""{_REPORT} select * from rep union all
   select 'l_tax', null, null, null, null, null, null, 'missing_in_new'"""
@@ -336,6 +342,8 @@ _GATE = """select case when count(*) filter (drifted) > 0 then 'train_model'
   case when count(*) filter (drifted) > 0 then 'drift' else 'stable' end reason,
   count(*) filter (drifted) n_drifted, max(psi) max_psi"""
 ORACLE["drift_gate"] = f"{_REPORT} {_GATE} from rep"
+ORACLE["drift_report_combined"] = f"{report(_OWN_RANGE)} select * from rep"
+ORACLE["drift_gate_combined"] = f"{report(_OWN_RANGE)} {_GATE} from rep"
 ORACLE["drift_gate_stable"] = f"""with {psi(_SIDES)}
   {_GATE} from (select psi, psi > 0.25 drifted from p)"""
 ORACLE["inject_shift"] = f"""select {LINE_KEY},

@@ -557,6 +557,21 @@ def drift_gate(spark, folder):
     return gate.withColumn("max_psi", r6("max_psi"))
 
 
+@query
+def drift_report_combined(spark, folder):
+    # Bins over both sides also catch a column that has left its old range altogether.
+    early, late = lines_halves(spark, folder)
+    report = drift.drift_report(early.drop("l_tax"), late, combined_range=True)
+    return _psi_columns(report)
+
+
+@query
+def drift_gate_combined(spark, folder):
+    early, late = lines_halves(spark, folder)
+    report = drift.drift_report(early.drop("l_tax"), late, combined_range=True)
+    return drift.retrain_gate(report).withColumn("max_psi", r6("max_psi"))
+
+
 @query
 def drift_gate_stable(spark, folder):
     tagged = lines_by_side(spark, folder)
