@@ -36,9 +36,27 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return plain.select(*(F.col(f"c{p}").alias(n) for p, n in zip(places, names)))
 
 
-def replace_column(df: DataFrame, name: str, values: str, text: str = "text") -> DataFrame:
-    """``df`` with column ``text`` taken from its own column ``values``, which goes."""
-    return df.withColumn(text, F.col(values)).drop(values)
+class Carried:
+    """A table under plain column names, so that columns can be added without clashes.
+
+    ``plain`` is the table, ``name`` gives a column's plain name (chosen as in
+    :func:`pick`), ``back`` restores all columns, names and order.
+    """
+
+    def __init__(self, df: DataFrame) -> None:
+        self.names = df.columns
+        self.keys = [f"c{i}" for i in range(len(self.names))]
+        self.plain = df.toDF(*self.keys)
+
+    def name(self, column: str) -> str:
+        lower = [c.lower() for c in self.names]
+        exact = column in self.names
+        return self.keys[self.names.index(column) if exact else lower.index(column.lower())]
+
+    def back(self, df: DataFrame, **changed: str) -> DataFrame:
+        """``df`` with the original columns; ``changed`` maps a column to its new source."""
+        swap = {self.name(c): source for c, source in changed.items()}
+        return df.select(*(F.col(swap.get(k, k)) for k in self.keys)).toDF(*self.names)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -54,16 +72,23 @@ def stage_once(df: DataFrame, name: str) -> DataFrame:
 # ---------------------------------------------------------------- groups in blocks
 
 
-def in_blocks(rows: DataFrame, keys: list[str], member: str, limit: int = BLOCK_ROWS) -> DataFrame:
+def in_blocks(
+    rows: DataFrame,
+    keys: list[str],
+    member: str,
+    limit: int = BLOCK_ROWS,
+    counted: DataFrame | None = None,
+) -> DataFrame:
     """``rows`` with ``block_a``, ``block_b``: tasks in which members of a group meet.
 
     A group of up to ``limit`` rows is one block. A larger one is dealt into
     ``g`` chunks by a hash of ``member`` and every pair of chunks is a block, so
     each row is repeated ``g`` times, no task gets more than about two chunks, and
-    every two members meet in at least one block. Nothing is dropped.
+    every two members meet in at least one block. Nothing is dropped. ``counted``
+    may give the keys of all rows without their other columns.
     """
     large = (
-        rows.groupBy(*keys)
+        (rows if counted is None else counted).groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("n_group"))
         .where(F.col("n_group") > limit)
         .select(*keys, F.ceil(F.col("n_group") / limit).cast("int").alias("n_chunks"))

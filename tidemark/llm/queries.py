@@ -6,14 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import simhash
+from tidemark.llm import decontaminate, embed_dedup, simhash
 from tidemark.llm.common import load
 
 
+def op1_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embed_dedup.near_duplicates(load(spark, folder, "embeddings"))
+
+
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(load(spark, folder, "documents"))
 
 
+def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    documents, benchmark = load(spark, folder, "documents"), load(spark, folder, "benchmark")
+    return decontaminate.report(documents, benchmark).drop("hit_places", "hit_items")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op4_simhash": op4_simhash,
+    "op5_decontaminate": op5_decontaminate,
 }

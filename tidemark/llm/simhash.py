@@ -17,11 +17,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from tidemark.llm.common import (
+    Carried,
     connected_components,
     in_blocks,
     pick,
@@ -161,24 +162,55 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     any other. Repeated rows come back as often as given. A null ``doc_id`` links
     its documents but is never a component's id, unless all its members are null, where
     the id is null. An empty table gives an empty result. ``kept`` marks the
-    component's smallest ``doc_id``.
+    rows with the component's smallest ``doc_id``.
     """
     prints = stage_once(fingerprints(docs), "fingerprints")
-    return components_of(prints)
+    return prints.join(components(prints), "fp").select(
+        "doc_id",
+        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+        "component_id",
+        (F.col("doc_id").eqNullSafe(F.col("component_id")) & F.col("has_first")).alias("kept"),
+    )
 
 
-def components_of(prints: DataFrame) -> DataFrame:
-    """The result of :func:`near_duplicates` for staged ``doc_id``, ``fp``."""
+def components(prints: DataFrame) -> DataFrame:
+    """``fp``, ``component_id``, ``has_first`` for each distinct ``fp`` of staged ``doc_id``, ``fp``.
+
+    ``has_first`` is true for one fingerprint of each component, one that the smallest
+    document has.
+    """
     classes = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     nodes = connected_components(near_links(classes.select("fp")))
     labelled = classes.join(nodes, classes["fp"] == nodes["node"], "left").select(
         "fp", "first_id", F.coalesce("label", "fp").alias("label")
     )
-    first = labelled.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    of_class = labelled.join(first, "label").select("fp", "component_id")
-    return prints.join(of_class, "fp").select(
-        "doc_id",
-        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
-        "component_id",
-        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"),
+    order = F.struct(F.col("first_id").isNull().alias("none"), "first_id", "fp")
+    first = labelled.groupBy("label").agg(F.min(order).alias("first"))
+    return labelled.join(first, "label").select(
+        "fp",
+        F.col("first.first_id").alias("component_id"),
+        (F.col("first.fp") == F.col("fp")).alias("has_first"),
+    )
+
+
+def keep_first(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each near-duplicate component: the smallest ``doc_id``.
+
+    All columns stay as they are. Of repeated rows with that id one stays. Cases as
+    in :func:`near_duplicates`. The texts are staged once with their fingerprints, and
+    shuffled once to meet the ids that stay.
+    """
+    carried = Carried(docs)
+    text, doc_id = carried.name("text"), carried.name("doc_id")
+    marked = stage_once(
+        carried.plain.withColumn("fp", F.pandas_udf(_fingerprint, LongType())(text)), "marked"
+    )
+    kept = (
+        components(marked.select(F.col(doc_id).alias("doc_id"), "fp"))
+        .where("has_first")
+        .select(F.col("fp").alias("kept_fp"), F.col("component_id").alias("kept_id"))
     )
+    same = (marked["fp"] == kept["kept_fp"]) & marked[doc_id].eqNullSafe(kept["kept_id"])
+    one = Window.partitionBy("fp", doc_id).orderBy(F.xxhash64(text))
+    left = marked.join(kept, same, "left_semi").withColumn("copy", F.row_number().over(one))
+    return carried.back(left.where("copy = 1"))
