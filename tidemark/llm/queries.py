@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, embed_dedup, simhash
+from tidemark.llm import decontaminate, embed_dedup, packing, simhash
 from tidemark.llm.common import load
 
 
@@ -14,6 +15,11 @@ def op1_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embed_dedup.near_duplicates(load(spark, folder, "embeddings"))
 
 
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    packed = packing.pack(load(spark, folder, "documents"), packing.default_vocabulary())
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(load(spark, folder, "documents"))
 
@@ -25,6 +31,7 @@ def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
+    "op3_packing": op3_packing,
     "op4_simhash": op4_simhash,
     "op5_decontaminate": op5_decontaminate,
 }
