@@ -18,8 +18,9 @@ from functools import lru_cache, partial
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 from tokenizers import Tokenizer
@@ -30,6 +31,7 @@ CAPACITY = 2048
 END_ID = 1  # fixed value: closes each document
 MAX_SLACK = 8  # padding left in a window before a piece is cut to fill it
 CACHED_WORDS = 400_000  # words whose ids a task remembers
+LEARNT_WORDS = 500  # words tokenised in one call
 SLICE_DOCS = 200  # documents tokenised at a time
 
 
@@ -63,7 +65,8 @@ class WordIds:
         self.known: dict[str, bytes] = {}
 
     def _encode(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.kind)
+        (got,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(got.ids, dtype=self.kind)
 
     def _learn(self, words: set[str]) -> None:
         if len(self.known) > CACHED_WORDS:
@@ -71,12 +74,14 @@ class WordIds:
         new = [w for w in words if w not in self.known]
         if not new:
             return
-        ids = self._encode(f" {_BETWEEN} ".join(new))
-        stops = [*np.flatnonzero(ids == self.between).tolist(), len(ids)]
-        raw, wide, low = ids.tobytes(), ids.itemsize, 0
-        for word, stop in zip(new, stops, strict=True):
-            self.known[word] = raw[low * wide : stop * wide]
-            low = stop + 1
+        for first in range(0, len(new), LEARNT_WORDS):
+            some = new[first : first + LEARNT_WORDS]
+            ids = self._encode(f" {_BETWEEN} ".join(some))
+            stops = [*np.flatnonzero(ids == self.between).tolist(), len(ids)]
+            raw, wide, low = ids.tobytes(), ids.itemsize, 0
+            for word, stop in zip(some, stops, strict=True):
+                self.known[word] = raw[low * wide : stop * wide]
+                low = stop + 1
 
     def of(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of each text."""
@@ -218,9 +223,13 @@ def pack_lengths(
 # ---------------------------------------------------------------- the operator
 
 
-def _wide(ids, wide: int):
+def _widened(ids: Column, wide: int) -> Column:
     narrow = np.uint16 if wide == 2 else np.uint32
-    return ids.map(lambda b: np.frombuffer(b, dtype=narrow).astype("<u4").tobytes())
+
+    def widen(values: pd.Series) -> pd.Series:
+        return values.map(lambda b: np.frombuffer(b, dtype=narrow).astype("<u4").tobytes())
+
+    return F.pandas_udf(widen, BinaryType())(ids)
 
 
 def pack(
@@ -262,7 +271,7 @@ def pack(
         (F.col("start") + F.col("begin")).alias("start"),
         F.col("part").cast("long").alias("length"),
         "doc_tokens",
-        F.pandas_udf(partial(_wide, wide=wide), BinaryType())(own).alias("ids"),
+        _widened(own, wide).alias("ids"),
         "sequence_id",
         "offset",
     )
