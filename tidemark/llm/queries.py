@@ -7,14 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, embed_dedup, packing, simhash
-from tidemark.llm.common import load
+from tidemark.llm import (
+    chat,
+    decontaminate,
+    embed_dedup,
+    language,
+    licenses,
+    packing,
+    sharding,
+    simhash,
+    toxicity,
+)
+from tidemark.llm.common import load, pick
 
 
 def op1_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embed_dedup.near_duplicates(load(spark, folder, "embeddings"))
 
 
+def op2_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(load(spark, folder, "documents"))
+
+
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     packed = packing.pack(load(spark, folder, "documents"), packing.default_vocabulary())
     return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -29,9 +43,36 @@ def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.report(documents, benchmark).drop("hit_places", "hit_items")
 
 
+def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.assign(load(spark, folder, "documents"))
+
+
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_documents(load(spark, folder, "documents"), load(spark, folder, "labels"))
+
+
+def op8_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(load(spark, folder, "documents"))
+
+
+def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame(
+        [(-1, 0, "user", said), (-1, 1, "assistant", said)],
+        "conv_id long, turn long, role string, text string",
+    )
+    rows = pick(load(spark, folder, "conversations"), *extra.columns)
+    return chat.read_back(chat.format_turns(rows.union(extra)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
+    "op2_licenses": op2_licenses,
     "op3_packing": op3_packing,
     "op4_simhash": op4_simhash,
     "op5_decontaminate": op5_decontaminate,
+    "op6_sharding": op6_sharding,
+    "op7_toxicity": op7_toxicity,
+    "op8_language": op8_language,
+    "op10_chat": op10_chat,
 }
