@@ -14,6 +14,7 @@ from tidemark.session import discard, scratch_path, stage_at
 
 FOLDS = 5  # fixed value: one fold in five is held out
 BLOCK_ROWS = 4096  # members of a group compared in one task
+BROADCAST_GROUPS = 100_000  # keys of large groups sent to every task; beyond, a join shuffles
 SLOT_ROWS = 200_000  # rows ranked in one task
 
 
@@ -87,12 +88,21 @@ def in_blocks(
     every two members meet in at least one block. Nothing is dropped. ``counted``
     may give the keys of all rows without their other columns.
     """
-    large = (
-        (rows if counted is None else counted).groupBy(*keys)
+    large = stage_once(
+        (rows if counted is None else counted)
+        .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("n_group"))
         .where(F.col("n_group") > limit)
-        .select(*keys, F.ceil(F.col("n_group") / limit).cast("int").alias("n_chunks"))
+        .select(*keys, F.ceil(F.col("n_group") / limit).cast("int").alias("n_chunks")),
+        "large-groups",
     )
+    n_large = large.count()
+    if n_large == 0:
+        return rows.select(
+            "*", *(F.lit(0).alias(c) for c in ("chunk", "block_a", "block_b"))
+        )
+    if n_large <= BROADCAST_GROUPS:
+        large = F.broadcast(large)
     chunk = F.pmod(F.xxhash64(F.lit(7), F.col(member)), F.col("n_chunks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)).alias("other")
     return (

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from tidemark.llm.common import held_out, pick
+from tidemark.llm.common import Carried, held_out, pick
 
 NGRAMS = (3, 4)  # characters; a gap between words counts as one
 SLOTS_LOG2 = 19
@@ -255,3 +255,11 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
         F.col("found.lang").alias("lang_pred"),
         F.col("found.score").alias("score"),
     )
+
+
+def keep_identified(docs: DataFrame, model: Model | None = None) -> DataFrame:
+    """``docs`` without those of no language (``und``); all columns stay. Learns from ``docs``."""
+    model = model or fit(docs)
+    carried = Carried(docs)
+    found = language_of(model, carried.name("text"))["lang"]
+    return carried.back(carried.plain.where(found != UNKNOWN))

@@ -11,6 +11,7 @@ from tidemark.llm import (
     chat,
     decontaminate,
     embed_dedup,
+    html_text,
     language,
     licenses,
     packing,
@@ -55,6 +56,10 @@ def op8_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(load(spark, folder, "documents"))
 
 
+def op9_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(load(spark, folder, "pages"))
+
+
 def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame(
@@ -74,5 +79,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_sharding": op6_sharding,
     "op7_toxicity": op7_toxicity,
     "op8_language": op8_language,
+    "op9_html_text": op9_html_text,
     "op10_chat": op10_chat,
 }

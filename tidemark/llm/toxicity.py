@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType
 
-from tidemark.llm.common import held_out, pick, stage_once
+from tidemark.llm.common import Carried, held_out, pick, stage_once
 
 SAMPLE_DOCS = 20_000  # labelled documents read when fitting
 SAMPLE_CHARS = 50_000  # of each of them
@@ -310,3 +310,10 @@ def score_documents(docs: DataFrame, labels: DataFrame, grammar: Grammar | None
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame, grammar: Grammar | None = None) -> DataFrame:
+    """``docs`` without those predicted toxic; all columns stay. Learns from ``docs`` and ``labels``."""
+    grammar = grammar or fit(docs, labels)
+    carried = Carried(docs)
+    return carried.back(carried.plain.where(toxicity_of(grammar, carried.name("text")) < 0.5))
