@@ -247,11 +247,12 @@ def with_slots(df: DataFrame, keys: list[str], order: list[str], rows: int) -> D
     """``df`` with ``slot``: 0, 1, 2, … without gaps within each value of ``keys``.
 
     ``rows`` is the number of rows of ``df``. A group of any size is ranked in buckets
-    of about ``SLOT_ROWS`` rows dealt by a hash of ``order``; bucket sizes are
-    then summed per group (one row per bucket). ``order`` must name rows up to
+    of at most about ``SLOT_ROWS`` rows dealt by a hash of ``order``, as many as shuffle partitions at
+    least; bucket sizes are then summed per group (one row per bucket). ``order`` must name rows up to
     repeats of equal rows, so a task that runs again gives the same slots.
     """
-    n = max(1, math.ceil(rows / SLOT_ROWS))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = max(partitions, math.ceil(rows / SLOT_ROWS))
     dealt = df.withColumn("slot_bucket", F.pmod(F.xxhash64(F.lit(11), *order), n).cast("int"))
     sizes = dealt.groupBy(*keys, "slot_bucket").agg(F.count(F.lit(1)).alias("slot_n"))
     before = Window.partitionBy(*keys).orderBy("slot_bucket")

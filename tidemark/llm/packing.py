@@ -15,7 +15,6 @@ import re
 from collections import deque
 from collections.abc import Iterator
 from functools import lru_cache, partial
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -69,11 +68,9 @@ class WordIds:
         return np.array(got.ids, dtype=self.kind)
 
     def _learn(self, words: set[str]) -> None:
+        new = list(words)
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
-        new = [w for w in words if w not in self.known]
-        if not new:
-            return
         for first in range(0, len(new), LEARNT_WORDS):
             some = new[first : first + LEARNT_WORDS]
             ids = self._encode(f" {_BETWEEN} ".join(some))
@@ -85,15 +82,22 @@ class WordIds:
 
     def of(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of each text."""
-        words = [
-            t.lower().split() if "<|" not in t and _PLAIN.fullmatch(t) else None for t in texts
-        ]
-        self._learn(set(chain.from_iterable(w for w in words if w)))
-        known = self.known.__getitem__
-        return [
-            self._encode(text).tobytes() if own is None else b"".join(map(known, own))
-            for text, own in zip(texts, words)
-        ]
+        known, out, gaps = self.known.get, [], []
+        for text in texts:
+            if "<|" in text or not _PLAIN.fullmatch(text):
+                out.append([self._encode(text).tobytes()])
+                continue
+            words = text.lower().split()
+            ids = list(map(known, words))
+            out.append(ids)
+            at = -1
+            for _ in range(ids.count(None)):
+                at = ids.index(None, at + 1)
+                gaps.append((ids, at, words[at]))
+        self._learn({word for _, _, word in gaps})
+        for ids, at, word in gaps:
+            ids[at] = self.known[word]
+        return [b"".join(ids) for ids in out]
 
 
 @lru_cache(maxsize=2)
