@@ -9,6 +9,8 @@ parser takes the backslashes out. Only DataFrame functions are used.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,32 +38,62 @@ def render(role: Column, text: Column) -> Column:
     return F.concat(F.lit(OPEN), role, F.lit(START), text, F.lit(STOP), F.lit(CLOSE))
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def parse(formatted: Column) -> Column:
     """The turns of a formatted text: an array of ``role`` and ``text``, null where ill formed.
 
     A turn's piece must be cut by its three markers into nothing, role, text and nothing.
     """
-    pieces = F.split(formatted, CLOSE)
 
     def turn(piece: Column) -> Column:
-        parts = F.split(piece, _MARKERS)
-        role, text = F.get(parts, F.lit(1)), F.get(parts, F.lit(2))
-        text = F.substr(text, F.lit(2), F.greatest(F.char_length(text) - 2, F.lit(0)))
-        whole = F.concat(F.lit(OPEN), role, F.lit(START), text, F.lit(STOP))
-        formed = (F.size(parts) == 4) & (whole == piece)
-        return F.struct(
-            F.when(formed, unescape(role)).alias("role"),
-            F.when(formed, unescape(text)).alias("text"),
-        )
+        def of_parts(parts: Column) -> Column:
+            role, text = F.get(parts, F.lit(1)), F.get(parts, F.lit(2))
+            text = F.substr(text, F.lit(2), F.greatest(F.char_length(text) - 2, F.lit(0)))
+            whole = F.concat(F.lit(OPEN), role, F.lit(START), text, F.lit(STOP))
+            formed = (F.size(parts) == 4) & (whole == piece)
+            return F.struct(
+                F.when(formed, unescape(role)).alias("role"),
+                F.when(formed, unescape(text)).alias("text"),
+            )
+
+        return _once(F.split(piece, _MARKERS), of_parts)
 
-    return F.transform(F.slice(pieces, 1, F.size(pieces) - 1), turn)
+    return _once(
+        F.split(formatted, CLOSE), lambda p: F.transform(F.slice(p, 1, F.size(p) - 1), turn)
+    )
 
 
 def _returns(rendered: Column, role: Column, text: Column) -> Column:
     """Whether parsing gives back exactly this turn and nothing more."""
-    turns = parse(rendered)
-    got = F.get(turns, F.lit(0))
-    return (F.size(turns) == 1) & got["role"].eqNullSafe(role) & got["text"].eqNullSafe(text)
+
+    def same(turns: Column) -> Column:
+        got = F.get(turns, F.lit(0))
+        return (F.size(turns) == 1) & got["role"].eqNullSafe(role) & got["text"].eqNullSafe(text)
+
+    return _once(parse(rendered), same)
+
+
+def _settle(role: Column, text: Column) -> Column:
+    """``piece`` and ``head``: a turn's rendering, and its role there, escaped where it must be."""
+
+    def safe(head: Column) -> Column:
+        return _once(
+            render(head, escape(text)),
+            lambda piece: F.when(
+                _returns(piece, role, text), F.struct(piece.alias("piece"), head.alias("head"))
+            ).otherwise(F.raise_error(F.lit("a turn does not return from its rendering"))),
+        )
+
+    return _once(
+        render(role, text),
+        lambda plain: F.when(
+            _returns(plain, role, text), F.struct(plain.alias("piece"), role.alias("head"))
+        ).otherwise(_once(escape(role), safe)),
+    )
 
 
 def format_turns(conversations: DataFrame) -> DataFrame:
@@ -81,29 +113,14 @@ def format_turns(conversations: DataFrame) -> DataFrame:
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    plain = render(F.col("role"), F.col("text"))
-    safe = render(escape(F.col("role")), escape(F.col("text")))
-    checked = (
-        rows.withColumn("plain", plain)
-        .withColumn("as_is", _returns(F.col("plain"), F.col("role"), F.col("text")))
-        .withColumn("piece", F.when(F.col("as_is"), F.col("plain")).otherwise(safe))
-        .withColumn(
-            "piece",
-            F.when(
-                F.col("as_is") | _returns(F.col("piece"), F.col("role"), F.col("text")),
-                F.col("piece"),
-            ).otherwise(F.raise_error(F.lit("a turn does not return from its rendering"))),
-        )
-        .withColumn("head", F.when(F.col("as_is"), F.col("role")).otherwise(escape(F.col("role"))))
-        .select(
-            "conv_id",
-            "turn",
-            "role",
-            "text",
-            "piece",
-            F.char_length("piece").cast("long").alias("n"),
-            (F.char_length("head") + len(OPEN) + len(START)).cast("long").alias("n_head"),
-        )
+    checked = rows.withColumn("settled", _settle(F.col("role"), F.col("text"))).select(
+        "conv_id",
+        "turn",
+        "role",
+        "text",
+        F.col("settled.piece").alias("piece"),
+        F.char_length("settled.piece").cast("long").alias("n"),
+        (F.char_length("settled.head") + len(OPEN) + len(START)).cast("long").alias("n_head"),
     )
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     before = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1))
