@@ -39,9 +39,15 @@ def test_roles_follow_types(spark):
     df = spark.createDataFrame(
         [], "a int, b double, c bigint, d string, e boolean, f date, a_scaled double, g float"
     )
-    numeric, categorical = column_roles(df)
-    assert numeric == ["a", "b"]
-    assert categorical == ["c", "d", "e", "f", "g"]
+    assert column_roles(df) == (["a", "b", "c", "g"], ["d", "e", "f"])
+    assert column_roles(df, narrow=True) == (["a", "b"], ["c", "d", "e", "f", "g"])
+
+
+def test_a_number_that_outgrows_an_int_keeps_its_role(spark, tmp_path):
+    for top in (2**31 - 1, 2**31):
+        (tmp_path / f"{top}.csv").write_text(f"n\n1\n{top}\n")
+        read = spark.read.csv(str(tmp_path / f"{top}.csv"), header=True, inferSchema=True)
+        assert column_roles(read) == (["n"], [])
 
 
 def test_spec_roles_leave_out_key_and_label(spark):

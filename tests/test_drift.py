@@ -152,3 +152,37 @@ def test_schema_report_counts_values(spark):
     rows = sorted(tuple(r) for r in drift.schema_report(base, new).collect())
     assert rows == [("a", "missing_in_new", 1), ("c", "missing_in_base", 1)]
     assert drift.schema_report(base, base).count() == 0
+
+
+def test_empty_sides_have_their_own_status(spark):
+    gap = lambda df, c: df.withColumn(c, F.lit(None).cast("double"))
+    base, new = two(spark, 0.0), two(spark, 0.0)
+    for stored in (False, True):
+        compare = lambda b, n: (
+            drift.drift_report_from_profile(drift.profile(b, b.columns), n)
+            if stored
+            else drift.drift_report(b, n)
+        )
+        report = compare(gap(base, "a"), new)
+        assert {r["feature"]: r["status"] for r in report.collect()}["a"] == "no_baseline_values"
+        gate = drift.retrain_gate(report).first()
+        assert (gate["decision"], gate["reason"]) == ("train_model", "no_baseline_values")
+        report = compare(base, gap(new, "b"))
+        assert {r["feature"]: r["status"] for r in report.collect()}["b"] == "no_new_values"
+        assert drift.retrain_gate(report).first()["decision"] == "halt"
+    only = drift.drift_report(gap(base, "a").select("a"), new.select("a")).collect()
+    assert [r["status"] for r in only] == ["no_baseline_values"]
+
+
+def test_infinities_are_out_of_range(spark):
+    row = psi_of(spark, [*range(20), float("inf")], [*range(20), float("-inf"), float("inf")])
+    assert row["n_out_of_range"] == 2 and row["psi"] == 0.0
+    moved = psi_of(spark, [*range(20), float("inf")], [19.0] * 20)
+    assert moved["psi"] > 0.25
+
+
+def test_profile_brings_its_bins(spark):
+    base, new = two(spark, 0.0), two(spark, 0.0)
+    for bins in (10, 20):
+        stored = drift.profile(base, base.columns, bins)
+        assert {r["psi"] for r in drift.psi_against_profile(stored, new).collect()} == {0.0}

@@ -16,9 +16,8 @@ def test_every_statement_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
 
 
-def test_what_has_no_statement_is_random_or_fitted():
-    fitted = {name for name in QUERIES if name.startswith("train_")}
-    assert set(QUERIES) - set(ORACLE) == fitted | {"batch_score", "balance_by_sampling"}
+def test_every_query_has_a_statement():
+    assert set(QUERIES) == set(ORACLE)
 
 
 # Plans that grow faster than the data, sort it to aggregate, or leave the JVM.
@@ -38,6 +37,8 @@ def test_same_as_sql(spark, data, duck, name):
     plan = result._jdf.queryExecution().executedPlan().toString()
     # A ledger's last record is one unsorted aggregate over a handful of records.
     allowed = {"SortAggregate"} if name == "ledger_last" else set()
+    # Single rows of totals are put side by side.
+    allowed |= {"BroadcastNestedLoopJoin"} if name == "split_random_facts" else set()
     assert [word for word in UNWANTED if word in plan and word not in allowed] == []
     assert difference(result, duck, ORACLE[name]) is None
 

@@ -85,12 +85,31 @@ def test_a_snapshot_side_is_pruned_and_written_unsorted(spark, orders, tmp_path)
     assert "(split#" in plan.split("PartitionFilters:")[1].split("PushedFilters")[0]
 
 
-def test_wide_lookup_keeps_frequent_values_off_the_shuffle(spark, orders):
-    index = categories.fit_index(orders, ["o_custkey"], max_categories=10)
+def test_wide_lookup_reads_once_and_keeps_frequent_values_off_the_shuffle(spark, orders):
+    columns = ["o_custkey", "o_totalprice", "o_orderdate"]
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = plan_of(categories.apply_index(orders, index))
+        for n in (1, 2, 3):
+            index = categories.fit_index(orders, columns[:n], max_categories=10)
+            plan = plan_of(categories.apply_index(orders, index))
+            assert plan.count("orders.parquet") == 1
+            # Frequent values and nulls: broadcast. The rest, with the others spread out: a shuffle.
+            assert plan.count("SortMergeJoin") == plan.count("BroadcastHashJoin") == n
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # Frequent values and nulls: broadcast only. The rest: an anti join, then a shuffle join.
-    assert "LeftAnti" in plan and plan.count("SortMergeJoin") == 1
+
+
+def test_no_task_sorts_all_values_of_a_wide_column(spark, lines):
+    """At the production limit, what is dealt out by feature is one row per feature and task."""
+    ran = spark._jsparkSession.sharedState().statusStore()
+    before = ran.executionsCount()
+    categories.fit_index(lines, ["l_partkey", "l_extendedprice", "l_returnflag"])
+    every = ran.executionsList()
+    plans = [
+        every.apply(i).physicalPlanDescription() for i in range(int(before), every.size())
+    ]
+    dealt = [p for p in plans if "hashpartitioning(feature" in p]
+    assert dealt and not any("Window" in p for p in dealt)
+    assert all("partial_count" in p for p in dealt)
+    with pytest.raises(ValueError, match="rank_categories"):
+        categories.top_categories(lines, ["l_partkey"], categories.MAX_CATEGORIES)

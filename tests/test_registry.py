@@ -1,3 +1,5 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -38,6 +40,25 @@ def test_ledger_appends_and_keeps_order(spark, tmp_path):
     assert ledger.last("snapshot_id") == "20240102"
 
 
+def test_simultaneous_writers_lose_nothing(spark, tmp_path):
+    ledger = Ledger(spark, str(tmp_path / "l"), "seq bigint, snapshot_id string")
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(lambda k: ledger.append(snapshot_id=f"s{k}"), range(12)))
+    rows = ledger.read().orderBy("seq", "record").collect()
+    assert sorted(r["snapshot_id"] for r in rows) == sorted(f"s{k}" for k in range(12))
+    assert len({(r["seq"], r["record"]) for r in rows}) == 12
+    assert ledger.last("snapshot_id") == rows[-1]["snapshot_id"]
+
+
+def test_simultaneous_promotions_have_their_own_versions(spark, tmp_path):
+    registry = Registry(spark, str(tmp_path))
+    runs = [{"run_id": f"r{k}", "snapshot_id": "s"} for k in range(6)]
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(lambda r: registry.promote(r, "m"), runs))
+    assert sorted(r["version"] for r in registry.promoted("m").collect()) == [1, 2, 3, 4, 5, 6]
+    assert registry.current("m")["version"] == 6
+
+
 def test_json_ledger(spark, tmp_path):
     path = tmp_path / "timestamps.json"
     assert read_json_ledger(spark, str(path)).count() == 0
@@ -146,6 +167,49 @@ def test_wide_state_survives_saving(spark, tmp_path):
     assert sorted(to_features(df, loaded).select("customer", "customer_indexed").collect()) == sorted(wanted)
 
 
+def test_new_label_classes_are_never_merged(spark):
+    state = prepare(customers(spark), SPEC).state
+    other = customers(spark).withColumn(
+        "left", F.when(F.col("tenure") < 9, "c1").when(F.col("tenure") < 18, "c2").otherwise("no")
+    )
+    with pytest.raises(Exception, match="unseen category in left"):
+        prepare(other, SPEC, state=state).table.collect()
+
+
+def test_unseen_feature_values_follow_the_policy(spark):
+    state = prepare(customers(spark), SPEC).state
+    new = customers(spark).withColumn(
+        "contract", F.when(F.col("tenure") == 5, "decade").otherwise(F.col("contract"))
+    )
+    kept = prepare(new, SPEC, state=state).table
+    assert kept.where("contract_indexed = 3").count() > 0
+    skipped = prepare(new, SPEC, state=state, invalid="skip").table
+    assert 0 < skipped.count() < kept.count()
+    with pytest.raises(Exception, match="unseen category in contract"):
+        prepare(new, SPEC, state=state, invalid="error").table.collect()
+
+
+def test_nothing_staged_is_left(spark, tmp_path):
+    from pathlib import Path
+
+    from tidemark.session import shared_folder
+
+    def left():
+        return {p.name for p in Path(shared_folder(spark).removeprefix("file:")).iterdir()}
+
+    before = left()
+    registry = Registry(spark, str(tmp_path / "registry"))
+    prepare_snapshot(registry, customers(spark), SPEC, "departures", "20240101000000")
+    assert left() == before
+    with pytest.raises(ValueError):
+        prepare_snapshot(registry, customers(spark).withColumn("left", F.lit("no")), SPEC, "departures")
+    assert left() == before
+    prepared = prepare(customers(spark), SPEC)
+    assert left() > before
+    prepared.discard()
+    assert left() == before
+
+
 def test_unknown_order(spark):
     with pytest.raises(ValueError, match="order must be"):
         prepare(customers(spark), SPEC, "sideways")
@@ -155,12 +219,12 @@ def test_whole_life(spark, tmp_path):
     registry = Registry(spark, str(tmp_path / "registry"))
 
     # Nothing promoted yet: train.
-    prepare_snapshot(registry, customers(spark), SPEC, "churn", "20240101000000")
-    assert lifecycle.retrain_if_needed(registry, "churn", LABEL, overrides=FAST) == (
+    prepare_snapshot(registry, customers(spark), SPEC, "departures", "20240101000000")
+    assert lifecycle.retrain_if_needed(registry, "departures", LABEL, overrides=FAST) == (
         "train_model",
         "no_baseline",
     )
-    first = registry.current("churn")
+    first = registry.current("departures")
     assert (first["version"], first["snapshot_id"], first["stage"]) == (
         1,
         "20240101000000",
@@ -171,33 +235,33 @@ def test_whole_life(spark, tmp_path):
     assert first["run_id"] == max(runs, key=lambda r: (r["metrics"]["accuracy"], r["seq"]))["run_id"]
 
     # The same population again: keep the model.
-    prepare_snapshot(registry, customers(spark), SPEC, "churn", "20240102000000")
-    report, gate = lifecycle.check_drift(registry, "churn", LABEL)
+    prepare_snapshot(registry, customers(spark), SPEC, "departures", "20240102000000")
+    report, gate = lifecycle.check_drift(registry, "departures", LABEL)
     assert gate.first()["decision"] == "no_model_drift"
     assert {r["psi"] for r in report.collect()} == {0.0}
-    assert lifecycle.retrain_if_needed(registry, "churn", LABEL) == ("no_model_drift", "stable")
+    assert lifecycle.retrain_if_needed(registry, "departures", LABEL) == ("no_model_drift", "stable")
 
     # A shifted one: its own scaling would hide the shift, the baseline's shows it.
-    prepare_snapshot(registry, customers(spark, shift=9.0), SPEC, "churn", "20240103000000")
-    report, _ = lifecycle.check_drift(registry, "churn", LABEL)
+    prepare_snapshot(registry, customers(spark, shift=9.0), SPEC, "departures", "20240103000000")
+    report, _ = lifecycle.check_drift(registry, "departures", LABEL)
     assert {r["feature"] for r in report.collect() if r["drifted"]} == {"monthly_scaled"}
-    combined, gate = lifecycle.check_drift(registry, "churn", LABEL, combined_range=True)
+    combined, gate = lifecycle.check_drift(registry, "departures", LABEL, combined_range=True)
     assert gate.first()["n_drifted"] == 1
-    assert lifecycle.retrain_if_needed(registry, "churn", LABEL, overrides=FAST)[1] == "drift"
-    assert registry.current("churn")["version"] == 2
+    assert lifecycle.retrain_if_needed(registry, "departures", LABEL, overrides=FAST)[1] == "drift"
+    assert registry.current("departures")["version"] == 2
 
     # Score the test side with the model in force.
     features = snapshots.read_snapshot(
         spark, registry.snapshot_root, "20240103000000", "test"
     ).drop(LABEL)
-    scored = lifecycle.score_with_current(registry, "churn", features)
+    scored = lifecycle.score_with_current(registry, "departures", features)
     assert scored.count() == features.count()
     assert {r["prediction"] for r in scored.select("prediction").distinct().collect()} <= {0.0, 1.0}
     with pytest.raises(ValueError, match="missing_in_new"):
-        lifecycle.score_with_current(registry, "churn", features.drop("tenure_scaled"))
+        lifecycle.score_with_current(registry, "departures", features.drop("tenure_scaled"))
 
     # A snapshot without a feature halts the run.
     lacking = FeatureSpec(label="left", drop=["customer", "monthly"], to_double=["total"])
-    prepare_snapshot(registry, customers(spark), lacking, "churn", "20240104000000", refit=True)
+    prepare_snapshot(registry, customers(spark), lacking, "departures", "20240104000000", refit=True)
     with pytest.raises(ValueError, match="lacks a feature"):
-        lifecycle.retrain_if_needed(registry, "churn", LABEL)
+        lifecycle.retrain_if_needed(registry, "departures", LABEL)

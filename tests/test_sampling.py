@@ -135,3 +135,29 @@ def test_exact_split_of_nothing(spark):
 def test_random_split_loses_no_row(spark):
     train, test = split_random(spark.range(1000), seed=42)
     assert sorted(r["id"] for r in merge_splits(train, test).collect()) == list(range(1000))
+
+
+def test_ratios_below_one_thin_a_class(spark):
+    df = spark.range(400).select("id", (F.col("id") % 2).alias("c"))
+    for ratio, low, high in ((0.0, 0, 0), (0.5, 70, 130)):
+        got = balance(df, "c", ["id"], ratios={0: 1.0, 1: ratio})
+        sizes = {r["c"]: r["count"] for r in got.groupBy("c").count().collect()}
+        assert sizes[0] == 200 and low <= sizes.get(1, 0) <= high
+
+
+def test_null_labels_can_be_kept_or_refused(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, None)], "id int, c string")
+    assert balance(df, "c", ["id"], null_labels="keep").where("c is null").count() == 1
+    with pytest.raises(Exception, match="cannot be balanced"):
+        balance(df, "c", ["id"], null_labels="error").collect()
+
+
+def test_class_bound_is_a_parameter(spark):
+    df = spark.range(30).select((F.col("id") % 5).alias("c"))
+    with pytest.raises(ValueError, match="more than 4"):
+        oversampling_ratios(df, "c", max_classes=4)
+
+
+def test_exact_split_of_equal_keys(spark):
+    df = spark.createDataFrame([(7,)] * 50, "id int")
+    assert {r["split"] for r in split_exact(df, ["id"], 0.2).collect()} == {"test"}

@@ -44,8 +44,9 @@ ORACLE["snapshot_one_side"] = (
 )
 ORACLE["snapshot_csv_roundtrip"] = "select * exclude (o_orderdate) from orders"
 ORACLE["snapshot_ids"] = "select event_id, strftime(ts, '%Y%m%d%H%M%S') snapshot_id from events"
-ORACLE["ledger_last"] = """select count(*) n, max(event_id) seq,
-  arg_max(strftime(ts, '%Y%m%d%H%M%S'), event_id) snapshot_id from events"""
+ORACLE["ledger_last"] = """select count(*) + 1 n, max(event_id) seq,
+  arg_max(strftime(ts, '%Y%m%d%H%M%S'), event_id) snapshot_id, max(event_id) + 1 added
+  from events"""
 ORACLE["latest_record"] = """select event_type, max(event_id) event_id,
   arg_max(user_id, event_id) user_id, arg_max(ts, event_id) ts, arg_max(value, event_id) "value"
   from events group by event_type"""
@@ -64,8 +65,9 @@ ORACLE["dedup_rows"] = """select distinct l_returnflag, l_linestatus, l_quantity
 ORACLE["clean_table"] = f"""with {DIRTY}
   select distinct o_orderstatus, o_orderpriority, amount from dirty where amount is not null"""
 _ROLES = {
-    "numeric": "l_linenumber l_quantity l_extendedprice l_discount l_tax",
-    "categorical": "l_orderkey l_partkey l_suppkey l_returnflag l_linestatus l_shipdate",
+    "numeric": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice "
+    "l_discount l_tax",
+    "categorical": "l_returnflag l_linestatus l_shipdate",
 }
 ORACLE["roles_of_columns"] = " union all ".join(
     f"select '{c}' column_name, '{role}' role, count({c}) n_values from lineitem"
@@ -86,7 +88,7 @@ ORACLE["derived_columns"] = f"""select {LINE_KEY},
 ORACLE["numeric_stats"] = " union all ".join(
     f"""select '{c}' feature, count({c}) n, {r6(f'avg({c})')} mean,
     {r6(f'stddev_samp({c})')} stddev from lineitem"""
-    for c in _ROLES["numeric"].split()
+    for c in _ROLES["numeric"].split()[3:]  # without the keys
 )
 
 
@@ -138,7 +140,15 @@ def indexed(table: str, key: str, columns: list[str]) -> str:
 
 ORACLE["category_index"] = indexed("orders", "o_orderkey", ["o_orderstatus", "o_orderpriority"])
 ORACLE["category_index_long_list"] = indexed("part", "p_partkey", ["p_name", "p_brand"])
-ORACLE["category_index_wide"] = indexed("orders", "o_orderkey", ["o_custkey", "o_orderstatus"])
+ORACLE["category_index_wide"] = indexed(
+    "orders", "o_orderkey", ["o_custkey", "o_totalprice", "o_orderstatus"]
+)
+_KNOWN = "o_orderpriority <> '1-URGENT'"
+ORACLE["features_of_other_table"] = f"""with m as ({ranked('orders', 'o_orderpriority', _KNOWN)}),
+  t as (select avg(o_totalprice) a, stddev_samp(o_totalprice) d from orders where {_KNOWN})
+  select o_orderkey, {r6("(o_totalprice - a) / d")} price,
+    coalesce("index", (select count(*) from m))::double o_orderpriority_indexed
+  from orders cross join t left join m on v = o_orderpriority"""
 ORACLE["category_index_unseen"] = f"""with o as (
     select *, strftime(o_orderdate, '%Y-%m') cohort from orders),
   m as ({ranked('o', 'cohort', "o_orderdate < timestamp '1998-01-01'")})
@@ -225,6 +235,10 @@ ORACLE["split_exact"] = """select o_orderkey,
             <= (select ceil(0.2 * count(*)) from orders) then 'test' else 'train' end split
   from orders"""
 ORACLE["split_random_whole"] = "select * from orders"
+ORACLE["split_random_facts"] = """select count(*) n, true share_is_near, 0::bigint n_both,
+  0::bigint n_apart from orders"""
+ORACLE["balance_by_sampling"] = """select quality, count(*) n, true size_is_near,
+  true largest_is_whole, true only_known_rows from labels group by quality"""
 ORACLE["merge_splits"] = "select * from orders"
 
 # --- ordering and choosing
@@ -325,6 +339,7 @@ _SHIFTED = f"""unpivot (select
          else l_quantity * 1.5::double + {NORMAL} end l_extendedprice, l_discount from lineitem)
   on l_quantity, l_extendedprice, l_discount into name feature value v"""
 ORACLE["psi_from_profile"] = psi_query(_SHIFTED)
+ORACLE["psi_from_fine_profile"] = psi_query(_SHIFTED, bins=20)
 
 
 def report(ranges: str) -> str:
@@ -342,12 +357,26 @@ _GATE = """select case when count(*) filter (drifted) > 0 then 'train_model'
   case when count(*) filter (drifted) > 0 then 'drift' else 'stable' end reason,
   count(*) filter (drifted) n_drifted, max(psi) max_psi"""
 ORACLE["drift_gate"] = f"{_REPORT} {_GATE} from rep"
+_GAPS = f"""{_REPORT},
+  h as (select count(*) filter (l_shipdate < timestamp '{SHIP_SPLIT}') n_base,
+          count(*) filter (l_shipdate >= timestamp '{SHIP_SPLIT}') n_new from lineitem),
+  gaps as (select * from rep where feature <> 'l_discount' union all
+    select 'l_discount', null, n_base, n_new, 0, n_new, null, 'no_new_values' from h union all
+    select 'l_tax', null, n_base, n_new, 0, n_base, null, 'no_baseline_values' from h)"""
+ORACLE["drift_report_gaps"] = f"{_GAPS} select * from gaps"
+ORACLE["drift_gate_halt"] = f"""{_GAPS} select 'halt' decision, 'missing_feature' reason,
+  count(*) filter (drifted) n_drifted, max(psi) max_psi from gaps"""
+ORACLE["drift_gate_new_feature"] = f"""select 'train_model' decision,
+  'no_baseline_values' reason, 0::bigint n_drifted, 0.0::double max_psi
+  from (select 1 from lineitem where l_shipdate < timestamp '{SHIP_SPLIT}' limit 1)"""
 ORACLE["drift_report_combined"] = f"{report(_OWN_RANGE)} select * from rep"
 ORACLE["drift_gate_combined"] = f"{report(_OWN_RANGE)} {_GATE} from rep"
 ORACLE["drift_gate_stable"] = f"""with {psi(_SIDES)}
   {_GATE} from (select psi, psi > 0.25 drifted from p)"""
 ORACLE["inject_shift"] = f"""select {LINE_KEY},
   {r6(f"l_quantity * 1.5::double + {NORMAL}")} l_extendedprice from lineitem"""
+ORACLE["inject_shift_random"] = """select count(*) n, true mean_is_near, true deviation_is_near
+  from lineitem"""
 ORACLE["schema_diff"] = """
   select 'l_tax' feature, 'missing_in_new' status, count(l_tax) n_values from lineitem union all
   select 'l_linenumber', 'type_changed', count(l_linenumber) from lineitem union all
@@ -376,7 +405,19 @@ ORACLE["summary_metrics"] = f"""with {_PER_CLASS}
     {r6("max(recall) filter (label = 0)")} recall_0, {r6("max(recall) filter (label = 1)")} recall_1,
     {r6("sum(f1 * support) / sum(support)")} f1_weighted, {r6("avg(f1)")} f1_macro from cls"""
 
-# --- models: only what does not depend on a fitted model can be stated
+# --- models: each must find the rule that made its labels
+
+_RULE = """rule as (select o_orderkey, (o_totalprice > 250000)::int::double rule from orders
+  where abs(o_totalprice - 250000) > 60000)"""
+for _algorithm in "logistic tree forest svc boosted deep_forest ridge_logistic".split():
+    ORACLE[f"train_{_algorithm}"] = f"""with {_RULE}
+      select o_orderkey, '{_algorithm}' algorithm, rule prediction from rule"""
+ORACLE["batch_score"] = f"with {_RULE} select o_orderkey, rule prediction from rule"
+ORACLE["evaluate_model"] = ORACLE["summary_metrics"].replace(
+    _RULED,
+    f"""{_RULE}, ruled as (select rule prediction,
+      case when o_orderkey % 10 = 0 then 1 - rule else rule end label from rule)""",
+)
 
 ORACLE["run_and_promote"] = f"""with y as ({prepared(True)})
   select '20240101000000' snapshot_id, count(*) n_rows, 'train_model' decision,

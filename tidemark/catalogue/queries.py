@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.catalogue.inputs import (
@@ -34,7 +34,7 @@ from tidemark.operators import (
     scaling,
 )
 from tidemark.plans import lifecycle
-from tidemark.plans.prepare import prepare, prepare_snapshot
+from tidemark.plans.prepare import fit_state, prepare, prepare_snapshot, to_features
 from tidemark.session import scratch_path
 from tidemark.sources import csv, ledgers, snapshots
 from tidemark.sources.ledgers import Registry
@@ -43,6 +43,7 @@ from tidemark.spec import FeatureSpec, column_roles
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+PRICE_RULE, PRICE_MARGIN, PRICE_STEP = 250_000.0, 60_000.0, 20_000.0
 QUALITY = FeatureSpec(label="quality", key=["doc_id"])
 
 
@@ -108,18 +109,24 @@ def snapshot_ids(spark, folder):
 
 @query
 def ledger_last(spark, folder):
-    # A ledger whose records are the events, appended in two batches.
+    # A ledger whose records are the events, appended as two; its last record, and one more.
     schema = "seq bigint, snapshot_id string, value double"
     ledger = ledgers.Ledger(spark, scratch_path(spark, "ledger"), schema)
     records = load(spark, folder, "events").select(
         F.col("event_id").alias("seq"), snapshot_stamp(F.col("ts")).alias("snapshot_id"), "value"
     )
-    for half in (F.col("value") < 10, F.col("value") >= 10):
-        records.where(half).write.mode("append").parquet(ledger.path)
-    return ledger.read().agg(
-        F.count(F.lit(1)).alias("n"),
-        F.max("seq").alias("seq"),
-        F.max_by("snapshot_id", "seq").alias("snapshot_id"),
+    low = F.coalesce(F.col("value") < 10, F.lit(False))
+    for half in (low, ~low):
+        ledger.append_table(records.where(half))
+    seq, snapshot_id = ledger.last("seq", "snapshot_id")
+    added = ledger.append(snapshot_id=snapshot_id, value=None)
+    counted = ledger.read().agg(F.count(F.lit(1)).alias("n"))
+    return counted.withColumns(
+        {
+            "seq": F.lit(seq).cast("bigint"),
+            "snapshot_id": F.lit(snapshot_id),
+            "added": F.lit(added).cast("bigint"),
+        }
     )
 
 
@@ -234,7 +241,7 @@ def derived_columns(spark, folder):
 @query
 def numeric_stats(spark, folder):
     lines = load(spark, folder, "lineitem")
-    stats = scaling.numeric_stats(lines, column_roles(lines)[0])
+    stats = scaling.numeric_stats(lines, column_roles(lines, exclude=LINE_KEY[:3])[0])
     return stats.select("feature", "n", r6("mean").alias("mean"), r6("stddev").alias("stddev"))
 
 
@@ -252,7 +259,7 @@ def zscore(spark, folder):
 @query
 def zscore_parts(spark, folder):
     parts = load(spark, folder, "part")
-    numeric = column_roles(parts)[0]
+    numeric = column_roles(parts, exclude=["p_partkey"])[0]
     scaled = scaling.apply_scaler(parts, scaling.fit_scaler(parts, numeric))
     return scaled.select("p_partkey", *[r6(f"{c}_scaled").alias(f"{c}_scaled") for c in numeric])
 
@@ -312,9 +319,22 @@ def category_index_unseen(spark, folder):
 @query
 def category_index_wide(spark, folder):
     orders = load(spark, folder, "orders")
-    fitted = categories.fit_index(orders, ["o_custkey", "o_orderstatus"], max_categories=50)
+    columns = ["o_custkey", "o_totalprice", "o_orderstatus"]  # the first two are wide
+    fitted = categories.fit_index(orders, columns, max_categories=50)
     indexed = categories.apply_index(orders, fitted)
-    return indexed.select("o_orderkey", "o_custkey_indexed", "o_orderstatus_indexed")
+    return indexed.select("o_orderkey", *[f"{c}_indexed" for c in columns])
+
+
+@query
+def features_of_other_table(spark, folder):
+    # Scaling and categories learnt on one part of a table, applied to all of it.
+    orders = load(spark, folder, "orders")
+    known = orders.where(F.col("o_orderpriority") != "1-URGENT")
+    state = fit_state(known, ["o_totalprice"], ["o_orderpriority"])
+    features = to_features(orders, state, "keep")
+    return features.select(
+        "o_orderkey", r6("o_totalprice_scaled").alias("price"), "o_orderpriority_indexed"
+    )
 
 
 @query
@@ -390,7 +410,27 @@ def balance_every_class(spark, folder):
 
 @query
 def balance_by_sampling(spark, folder):
-    return sampling.balance_by_sampling(load(spark, folder, "labels"), "quality", seed=42)
+    # What holds for any draw: rows of the largest class kept once, no unknown row, sizes near.
+    labels = load(spark, folder, "labels")
+    sampled = sampling.balance_by_sampling(labels, "quality", seed=42)
+    size, largest = F.col("n_sampled"), F.max("n").over(Window.partitionBy())
+    before = sampling.class_counts(labels, "quality")
+    known = sampled.join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
+    after = known.groupBy("quality").agg(
+        F.count(F.lit(1)).alias("n_sampled"), F.count_distinct("doc_id").alias("n_rows")
+    )
+    total = sampled.groupBy("quality").agg(F.count(F.lit(1)).alias("n_total"))
+    facts = before.join(after, "quality").join(total, "quality").withColumn("top", largest)
+    # Five standard deviations of a Poisson draw.
+    near = F.abs(size - F.col("top")) <= 5 * F.sqrt(F.col("top"))
+    whole = (F.col("n") < F.col("top")) | ((size == F.col("n")) & (F.col("n_rows") == F.col("n")))
+    return facts.select(
+        "quality",
+        "n",
+        near.alias("size_is_near"),
+        whole.alias("largest_is_whole"),
+        (F.col("n_total") == size).alias("only_known_rows"),
+    )
 
 
 @query
@@ -411,6 +451,23 @@ def split_random_whole(spark, folder):
     return sampling.merge_splits(train, test)
 
 
+@query
+def split_random_facts(spark, folder):
+    # What holds for any draw: a share near the one asked for, sides disjoint, a draw that repeats.
+    orders = load(spark, folder, "orders").select("o_orderkey")
+    train, test = sampling.split_random(orders)
+    again = sampling.split_random(orders)[1].withColumnRenamed("o_orderkey", "again")
+    n, n_test = orders.agg(F.count(F.lit(1)).alias("n")), test.agg(F.count(F.lit(1)).alias("n_test"))
+    both = train.join(test, "o_orderkey").agg(F.count(F.lit(1)).alias("n_both"))
+    apart = test.join(again, F.col("o_orderkey") == F.col("again"), "full").where(
+        "o_orderkey is null or again is null"
+    )
+    facts = n.join(n_test).join(both).join(apart.agg(F.count(F.lit(1)).alias("n_apart")))
+    # Five standard deviations of the number of test rows.
+    near = F.abs(F.col("n_test") - 0.2 * F.col("n")) <= 5 * F.sqrt(0.16 * F.col("n"))
+    return facts.select("n", near.alias("share_is_near"), "n_both", "n_apart")
+
+
 @query
 def merge_splits(spark, folder):
     marked = sampling.split(load(spark, folder, "orders"), ["o_orderkey"])
@@ -494,15 +551,19 @@ def _psi_columns(table: DataFrame) -> DataFrame:
     return table.withColumn("psi", r6("psi"))
 
 
+def _psi_only(table: DataFrame) -> DataFrame:
+    return _psi_columns(table).drop("status")
+
+
 @query
 def psi_baseline(spark, folder):
-    return _psi_columns(drift.psi_by_side(lines_by_side(spark, folder), DRIFT_COLUMNS))
+    return _psi_only(drift.psi_by_side(lines_by_side(spark, folder), DRIFT_COLUMNS))
 
 
 @query
 def psi_combined(spark, folder):
     table = drift.psi_by_side(lines_by_side(spark, folder), DRIFT_COLUMNS, combined_range=True)
-    return _psi_columns(table)
+    return _psi_only(table)
 
 
 def _events_by_side(spark, folder):
@@ -512,7 +573,7 @@ def _events_by_side(spark, folder):
 
 @query
 def psi_events(spark, folder):
-    return _psi_columns(drift.psi_by_side(_events_by_side(spark, folder), ["value"], bins=20))
+    return _psi_only(drift.psi_by_side(_events_by_side(spark, folder), ["value"], bins=20))
 
 
 @query
@@ -520,14 +581,14 @@ def psi_constant_baseline(spark, folder):
     # The baseline knows one value only; new rows equal to it fill the last bin.
     steady = F.when(F.col("side") == "base", 3.0).otherwise(F.round("value"))
     tagged = _events_by_side(spark, folder).withColumn("value", steady)
-    return _psi_columns(drift.psi_by_side(tagged, ["value"]))
+    return _psi_only(drift.psi_by_side(tagged, ["value"]))
 
 
 @query
 def psi_out_of_range(spark, folder):
     far = F.when(F.col("side") == "base", F.col("value")).otherwise(F.col("value") + 1e6)
     tagged = _events_by_side(spark, folder).withColumn("value", far)
-    return _psi_columns(drift.psi_by_side(tagged, ["value"]))
+    return _psi_only(drift.psi_by_side(tagged, ["value"]))
 
 
 @query
@@ -535,7 +596,49 @@ def psi_from_profile(spark, folder):
     early, late = lines_halves(spark, folder)
     path = scratch_path(spark, "profile")
     drift.profile(early, DRIFT_COLUMNS).write.parquet(path)
-    return _psi_columns(drift.psi_against_profile(spark.read.parquet(path), late))
+    return _psi_only(drift.psi_against_profile(spark.read.parquet(path), late))
+
+
+@query
+def psi_from_fine_profile(spark, folder):
+    # The number of bins comes with the profile.
+    early, late = lines_halves(spark, folder)
+    path = scratch_path(spark, "profile")
+    drift.profile(early, DRIFT_COLUMNS, bins=20).write.parquet(path)
+    return _psi_only(drift.psi_against_profile(spark.read.parquet(path), late))
+
+
+def _halves_with_gaps(spark, folder):
+    """The halves, ``l_tax`` without a value in the old one, ``l_discount`` in the new one."""
+    early, late = lines_halves(spark, folder)
+    nothing = F.lit(None).cast("double")
+    late = late.withColumn("l_tax", F.col("l_quantity"))
+    return early.withColumn("l_tax", nothing), late.withColumn("l_discount", nothing)
+
+
+@query
+def drift_report_gaps(spark, folder):
+    early, late = _halves_with_gaps(spark, folder)
+    return _psi_columns(drift.drift_report(early, late))
+
+
+@query
+def drift_gate_halt(spark, folder):
+    early, late = _halves_with_gaps(spark, folder)
+    return drift.retrain_gate(drift.drift_report(early, late)).withColumn("max_psi", r6("max_psi"))
+
+
+@query
+def drift_gate_new_feature(spark, folder):
+    # A feature the baseline has no values of, from a stored profile; nothing else has moved.
+    early, _ = lines_halves(spark, folder)
+    steady = early.select("l_quantity", "l_discount", "l_tax")
+    path = scratch_path(spark, "profile")
+    drift.profile(
+        steady.withColumn("l_tax", F.lit(None).cast("double")), steady.columns
+    ).write.parquet(path)
+    report = drift.drift_report_from_profile(spark.read.parquet(path), steady)
+    return drift.retrain_gate(report).withColumn("max_psi", r6("max_psi"))
 
 
 @query
@@ -586,6 +689,23 @@ def inject_shift(spark, folder):
     return shifted.select(*LINE_KEY, r6("l_extendedprice").alias("l_extendedprice"))
 
 
+@query
+def inject_shift_random(spark, folder):
+    # What holds for any draw: noise of mean 0 and deviation 1, within five standard errors.
+    lines = load(spark, folder, "lineitem")
+    shifted = drift.inject_shift(lines, "l_quantity", "l_extendedprice", seed=7)
+    noise = F.col("l_extendedprice") - F.col("l_quantity") * 1.5
+    facts = shifted.agg(
+        F.count(F.lit(1)).alias("n"), F.avg(noise).alias("m"), F.stddev_samp(noise).alias("s")
+    )
+    error = 5 / F.sqrt(F.col("n").cast("double"))
+    return facts.select(
+        "n",
+        (F.abs("m") < error).alias("mean_is_near"),
+        (F.abs(F.col("s") - 1) < error).alias("deviation_is_near"),
+    )
+
+
 @query
 def schema_diff(spark, folder):
     lines = load(spark, folder, "lineitem")
@@ -627,26 +747,32 @@ def summary_metrics(spark, folder):
 # --- models -----------------------------------------------------------------
 
 
-def _quality_sides(spark, folder):
-    """Prepared labelled documents, written as a snapshot and read back by side."""
-    prepared = prepare(labelled_documents(spark, folder), QUALITY)
-    root = scratch_path(spark, "snapshots")
-    snapshots.write_snapshot(prepared.table, root, "20240101000000")
-    sides = [
-        snapshots.read_snapshot(spark, root, "20240101000000", side)
-        for side in (sampling.TRAIN, sampling.TEST)
-    ]
-    return sides[0], sides[1], prepared.label
+def _ruled_orders(spark, folder):
+    """Orders labelled by a rule that a learner must find: the price is above ``PRICE_RULE``.
+
+    Prices within ``PRICE_MARGIN`` of it, where learners may differ, are left out, and the
+    price is given in steps, so that trees, which try 32 bins, can tell all of them apart.
+    """
+    price = F.col("o_totalprice")
+    return (
+        load(spark, folder, "orders")
+        .where(F.abs(price - PRICE_RULE) > PRICE_MARGIN)
+        .select(
+            "o_orderkey",
+            (F.floor(price / PRICE_STEP) * PRICE_STEP / PRICE_RULE - 1).alias("price"),
+            F.when(price > PRICE_RULE, 1.0).otherwise(0.0).alias("label"),
+        )
+    )
 
 
 def _train(algorithm: str) -> Query:
     def run(spark, folder):
-        train_side, test_side, label = _quality_sides(spark, folder)
-        train_side = train_side.persist()
-        model = models.train(train_side, label, algorithm)
-        quality = models.evaluate(model, test_side, label)
+        marked = sampling.split(_ruled_orders(spark, folder), ["o_orderkey"])
+        train_side = marked.where(F.col("split") == sampling.TRAIN).select("price", "label").persist()
+        model = models.train(train_side, "label", algorithm)
         train_side.unpersist()
-        return quality.select(F.lit(algorithm).alias("algorithm"), *models.METRICS)
+        scored = models.score(model, _ruled_orders(spark, folder).drop("label"))
+        return scored.select("o_orderkey", F.lit(algorithm).alias("algorithm"), "prediction")
 
     run.__name__ = f"train_{algorithm}"
     return run
@@ -656,13 +782,24 @@ for _algorithm in models.ALGORITHMS:
     query(_train(_algorithm))
 
 
+@query
+def evaluate_model(spark, folder):
+    # A model of the rule, judged by labels of which every tenth is turned round.
+    rows = _ruled_orders(spark, folder)
+    model = models.train(rows.select("price", "label"), "label", "tree")
+    turned = F.when(F.col("o_orderkey") % 10 == 0, 1 - F.col("label")).otherwise(F.col("label"))
+    quality = models.evaluate(model, rows.withColumn("label", turned), "label")
+    return quality.select(*[r6(c).alias(c) for c in models.METRICS])
+
+
 @query
 def batch_score(spark, folder):
-    train_side, test_side, label = _quality_sides(spark, folder)
+    rows = _ruled_orders(spark, folder)
     path = scratch_path(spark, "model")
-    models.train(train_side, label, "logistic").write().save(path)
-    schema = models.input_schema(train_side, label)
-    return models.score(path, test_side.drop(label), schema)
+    learnt = rows.select("price", "label")
+    models.train(learnt, "label", "logistic").write().save(path)
+    schema = models.input_schema(learnt, "label")
+    return models.score(path, rows.drop("label"), schema).select("o_orderkey", "prediction")
 
 
 @query
@@ -682,7 +819,7 @@ def run_and_promote(spark, folder):
     schema = "snapshot_id string, decision string, reason string"
     verdicts = spark.createDataFrame(decisions, schema)
     runs = registry.runs.read().groupBy("snapshot_id").agg(F.count(F.lit(1)).alias("n_runs"))
-    promoted = registry.promotions.read().select("snapshot_id", "version", "stage")
+    promoted = registry.promoted().select("snapshot_id", "version", "stage")
     return (
         registry.snapshots.read()
         .select("snapshot_id", "n_rows")

@@ -14,12 +14,14 @@ import pyarrow as pa
 from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.session import session_setting, shuffle_partitions, stage
+from tidemark.session import shuffle_partitions, stage, staging
 from tidemark.spec import ENCODED, INDEXED
 
 MAX_CATEGORIES = 10_000  # longest list kept on the driver and broadcast
 MAX_CATEGORY_BYTES = 8 << 20  # and the most text such a list may hold
+MAX_TOTAL_BYTES = 64 << 20  # and the most text of all columns' lists together
 INLINE_CATEGORIES = 32  # lists up to here become literals in the expression
 HEAD_CATEGORIES = 1_000  # most frequent values of a wide column, looked up by broadcast
 
@@ -65,35 +67,36 @@ def _by_frequency() -> list[Column]:
 
 
 def top_categories(df: DataFrame, columns: Sequence[str], limit: int) -> DataFrame:
-    """``(feature, value, n, index, text_bytes)`` of the ``limit`` most frequent values.
+    """``(feature, value, n, index)`` of the ``limit`` most frequent values of each column.
 
-    ``text_bytes`` adds up the text of a value and those before it. The limit is
-    applied inside each task before the shuffle, so no task ever receives all
-    values of a wide column.
+    Spark limits each task's values before the shuffle only for limits below
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1,000 by default); larger ones are
+    refused. :func:`rank_categories` ranks any number.
     """
+    bound = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    if limit >= bound:
+        raise ValueError(f"limit must be below {bound}; rank_categories has none")
     window = Window.partitionBy("feature").orderBy(*_by_frequency())
-    text_bytes = F.sum(F.octet_length("value")).over(
-        window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
     return (
         category_counts(df, columns)
-        .withColumns({"rank": F.row_number().over(window), "text_bytes": text_bytes})
+        .withColumn("rank", F.row_number().over(window))
         .where(F.col("rank") <= limit)
-        .select(
-            "feature", "value", "n", (F.col("rank") - 1).cast("bigint").alias("index"), "text_bytes"
-        )
+        .select("feature", "value", "n", (F.col("rank") - 1).cast("bigint").alias("index"))
     )
 
 
 def rank_categories(df: DataFrame, column: str) -> DataFrame:
-    """``(value, n, index)`` of one column, however many values it has.
+    """``(value, n, index)`` of one column, however many values it has."""
+    return _rank(category_counts(df, [column]).select("value", "n"), shuffle_partitions(df))
+
+
+def _rank(counts: DataFrame, blocks: int) -> DataFrame:
+    """``counts`` (``value``, ``n``) with their places by frequency.
 
-    The counts are range-partitioned by (n descending, value) and staged, so a
+    They are range-partitioned by (n descending, value) and staged, so a
     value's index is its place within its block plus the sizes of the blocks
     before it. No block holds more than its share of the distinct values.
     """
-    blocks = shuffle_partitions(df)
-    counts = category_counts(df, [column]).select("value", "n")
     staged = stage(
         counts.repartitionByRange(blocks, *_by_frequency()).withColumn(
             "block", F.spark_partition_id()
@@ -120,32 +123,50 @@ def fit_index(
     columns: Sequence[str],
     max_categories: int = MAX_CATEGORIES,
     max_bytes: int = MAX_CATEGORY_BYTES,
+    max_total_bytes: int = MAX_TOTAL_BYTES,
 ) -> CategoryIndex:
-    """Learn every column's categories: by frequency, ties in text order."""
+    """Learn every column's categories: by frequency, ties in text order.
+
+    The values of all columns are counted once and staged. One row per column then says
+    which columns have at most ``max_categories`` values and ``max_bytes`` of text; the
+    smallest of these, ``max_total_bytes`` in all, are collected. The others are
+    ranked from the staged counts.
+    """
     if not columns:
         return CategoryIndex({})
-    # One job; at most max_categories + 1 values and max_bytes of text per column.
-    top = top_categories(df, columns, max_categories + 1).select(
-        "feature", "index", F.when(F.col("text_bytes") <= max_bytes, F.col("value")).alias("value")
-    )
-    parts = str(shuffle_partitions(df))
-    with session_setting(df.sparkSession, "spark.sql.shuffle.partitions", parts):
-        rows = top.collect()
-    found: dict[str, list[str | None]] = {c: [] for c in columns}
-    for row in sorted(rows, key=lambda r: r["index"]):
-        found[row["feature"]].append(row["value"])
-    empty = [c for c, values in found.items() if not values]
-    if empty:
-        raise ValueError(f"columns without any value: {', '.join(empty)}")
-    labels = {
-        c: values
-        for c, values in found.items()
-        if len(values) <= max_categories and values[-1] is not None
-    }
-    wide = {
-        c: stage(rank_categories(df, c), "category-index") for c in columns if c not in labels
-    }
-    return CategoryIndex(labels, wide)
+    with staging(df.sparkSession, keep="category-index"):
+        counts = stage(category_counts(df, columns), "category-counts")
+        sizes = {
+            r["feature"]: (r["n_bytes"], r["n"])
+            for r in counts.groupBy("feature")
+            .agg(
+                F.count(F.lit(1)).alias("n"),
+                F.sum(F.octet_length("value").cast("bigint")).alias("n_bytes"),
+            )
+            .collect()
+        }
+        empty = [c for c in columns if c not in sizes]
+        if empty:
+            raise ValueError(f"columns without any value: {', '.join(empty)}")
+        listed, room = [], max_total_bytes
+        for n_bytes, n, c in sorted((*sizes[c], c) for c in set(columns)):
+            if n <= max_categories and n_bytes <= min(max_bytes, room):
+                listed.append(c)
+                room -= n_bytes
+        rows = counts.where(F.col("feature").isin(listed)).collect()
+        found: dict[str, list[str]] = {c: [] for c in columns if c in listed}
+        for row in sorted(rows, key=lambda r: (-r["n"], r["value"])):
+            found[row["feature"]].append(row["value"])
+        blocks = shuffle_partitions(df)
+        wide = {
+            c: stage(
+                _rank(counts.where(F.col("feature") == c).select("value", "n"), blocks),
+                "category-index",
+            )
+            for c in columns
+            if c not in listed
+        }
+    return CategoryIndex(found, wide)
 
 
 def _require(policy: str) -> None:
@@ -192,25 +213,31 @@ def _short_key(value: Column) -> Column:
 
 
 def _lookup_wide(df: DataFrame, column: str, ranked: DataFrame, policy: str) -> DataFrame:
-    """Look up a column with too many categories to broadcast.
+    """Look up a column with too many categories to broadcast, in one pass over ``df``.
 
     Its most frequent values, and nulls, are resolved by a broadcast of at most
-    HEAD_CATEGORIES short keys and so never reach the shuffle; what is left has
-    no known value more frequent than 1/HEAD_CATEGORIES of the rows.
+    HEAD_CATEGORIES short keys. Rows so settled, with all others, go through a left join to the
+    rest of the table, but under keys that match nothing and differ from row to
+    row; what else is left has no known value more frequent than 1/HEAD_CATEGORIES of the rows.
     """
     table = ranked.select(_short_key(F.col("value")).alias("__key"), F.col("index").alias("__index"))
-    head = F.broadcast(table.where(F.col("__index") < HEAD_CATEGORIES))
-    tail = table.where(F.col("__index") >= HEAD_CATEGORIES)
+    head = F.broadcast(
+        table.where(F.col("__index") < HEAD_CATEGORIES).toDF("__head_key", "__head")
+    )
+    tail = table.where(F.col("__index") >= HEAD_CATEGORIES).toDF("__tail_key", "__tail")
     total = ranked.count()
     value = F.col(column)
-    same = _short_key(value.cast("string")) == F.col("__key")
-
-    settled = df.join(head, same, "left").where(F.col("__index").isNotNull() | value.isNull())
-    present = df.where(value.isNotNull())
-    rare = present.join(head, same, "left_anti").join(tail, same, "left")
-    joined = settled.unionByName(rare)
-    index = _resolve(F.col("__index"), column, F.lit(total), policy)
-    return joined.withColumn(column + INDEXED, index).drop("__index", "__key")
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    spread = F.concat(F.lit("~"), F.xxhash64(*plain).cast("string"))
+    own = _short_key(value.cast("string"))
+    first = df.withColumn("__own", own).join(head, F.col("__own") == F.col("__head_key"), "left")
+    settled = F.col("__head").isNotNull() | value.isNull()
+    keyed = first.withColumn("__own", F.when(settled, spread).otherwise(F.col("__own")))
+    joined = keyed.join(tail, F.col("__own") == F.col("__tail_key"), "left")
+    index = _resolve(F.coalesce("__head", "__tail"), column, F.lit(total), policy)
+    return joined.withColumn(column + INDEXED, index).drop(
+        "__own", "__head_key", "__head", "__tail_key", "__tail"
+    )
 
 
 def apply_index(df: DataFrame, index: CategoryIndex, invalid: str = "keep") -> DataFrame:

@@ -16,6 +16,7 @@ BINS = 10
 THRESHOLD = 0.25
 EMPTY_BIN = 0.0001
 
+# Outcomes of the gate.
 RETRAIN = "train_model"
 KEEP = "no_model_drift"
 HALT = "halt"
@@ -50,12 +51,19 @@ def _bin_array(found: str, bins: int) -> Column:
     )
 
 
+COMPARED = "compared"
+NO_BASELINE = "no_baseline_values"
+NO_NEW = "no_new_values"
+
+
 def psi_from_counts(counts: DataFrame, bins: int = BINS) -> DataFrame:
-    """PSI per feature from ``(side, feature, bin, n)`` histogram rows.
+    """PSI and ``status`` per feature from ``(side, feature, bin, n)`` histogram rows.
 
-    Also reports how many values each side had, and how many of them were out
+    Also reports how many rows each side had, and how many of their values were out
     of the binned range or missing: those take no part in the PSI, and a side
-    entirely out of range would otherwise pass for an even spread.
+    entirely out of range would otherwise pass for an even spread. A feature without a
+    finite value in the baseline, or whose new rows lack every value, has no
+    PSI and says so.
     """
     n = F.col("n")
 
@@ -75,22 +83,42 @@ def psi_from_counts(counts: DataFrame, bins: int = BINS) -> DataFrame:
         found(NEW).alias("__new"),
         total(on(BASE)).alias("n_base"),
         total(on(NEW)).alias("n_new"),
+        total(on(BASE) & (F.col("bin") >= 0)).alias("__binned"),
+        total(on(NEW) & (F.col("bin") == MISSING)).alias("__lacking"),
         total(on(NEW) & (F.col("bin") == OUTSIDE)).alias("n_out_of_range"),
         total(F.col("bin") == MISSING).alias("n_missing"),
     )
+    lost = (F.col("n_new") > 0) & (F.col("__lacking") == F.col("n_new"))
     shares = grouped.withColumns(
         {
             "__p": densities(_bin_array("__base", bins)),
             "__q": densities(_bin_array("__new", bins)),
+            "status": F.when(F.col("__binned") == 0, NO_BASELINE)
+            .when(lost, NO_NEW)
+            .otherwise(COMPARED),
         }
     )
     terms = F.zip_with("__p", "__q", lambda p, q: (q - p) * F.ln(q / p))
     psi = F.aggregate(terms, F.lit(0.0), lambda acc, x: acc + F.nanvl(x, F.lit(0.0)))
     return shares.select(
-        "feature", psi.alias("psi"), "n_base", "n_new", "n_out_of_range", "n_missing"
+        "feature",
+        F.when(F.col("status") == COMPARED, psi).alias("psi"),
+        "n_base",
+        "n_new",
+        F.when(F.col("status") == NO_BASELINE, 0)
+        .otherwise(F.col("n_out_of_range"))
+        .cast("bigint")
+        .alias("n_out_of_range"),
+        "n_missing",
+        "status",
     )
 
 
+def _all_ranges(ranges: Ranges) -> Ranges:
+    """A place on the axis also for features without values, so that their rows are counted."""
+    return {c: (0.0, 0.0) if span is None else span for c, span in ranges.items()}
+
+
 def psi_by_side(
     tagged: DataFrame, columns: Sequence[str], bins: int = BINS, combined_range: bool = False
 ) -> DataFrame:
@@ -98,10 +126,20 @@ def psi_by_side(
 
     The bins span the base rows' values or, with ``combined_range``, everyone's.
     One pass finds the ranges and one counts, however many features there are.
+    Every feature has a row, unless the table has none.
     """
     ranged = tagged if combined_range else tagged.where(F.col("side") == BASE)
-    counts = histogram(tagged, feature_ranges(ranged, columns), bins, by=["side"])
-    return psi_from_counts(counts, bins)
+    ranges = feature_ranges(ranged, columns)
+    counts = histogram(tagged, _all_ranges(ranges), bins, by=["side"])
+    # Of a feature without a range nothing can be in a bin.
+    unknown = F.col("feature").isin([c for c, span in ranges.items() if span is None])
+    place = F.when(unknown & (F.col("bin") >= 0), OUTSIDE).otherwise(F.col("bin"))
+    return psi_from_counts(_regrouped(counts.withColumn("bin", place)), bins)
+
+
+def _regrouped(counts: DataFrame) -> DataFrame:
+    """One row per bin again after bins were put together."""
+    return counts.groupBy("side", "feature", "bin").agg(F.sum("n").alias("n"))
 
 
 def psi(
@@ -116,44 +154,55 @@ def psi(
 
 
 def profile(df: DataFrame, columns: Sequence[str], bins: int = BINS) -> DataFrame:
-    """``(feature, lo, hi, bin, n)``: a baseline's bins, to be stored and compared later.
+    """``(feature, lo, hi, bins, bin, n)``: a baseline's bins, to be stored and compared later.
 
-    At most ``bins + 2`` rows per feature. Checking against a stored profile
-    reads only the new table.
+    At most ``bins + 2`` rows per feature, and one at least unless the table is
+    empty; ``lo`` and ``hi`` are NULL where there is no finite value. Checking against a stored
+    profile reads only the new table.
     """
     ranges = feature_ranges(df, columns)
-    lo = F.create_map(*_literal_pairs(ranges, 0))
-    hi = F.create_map(*_literal_pairs(ranges, 1))
-    return histogram(df, ranges, bins).select(
-        "feature", lo[F.col("feature")].alias("lo"), hi[F.col("feature")].alias("hi"), "bin", "n"
+    spans = df.sparkSession.createDataFrame(
+        [(c, *(span or (None, None))) for c, span in ranges.items()],
+        "of string, lo double, hi double",
+    )
+    counted = histogram(df, _all_ranges(ranges), bins)
+    # One row per feature on the right: a few, as in the ranges above.
+    return counted.join(F.broadcast(spans), F.col("feature") == F.col("of")).select(
+        "feature",
+        "lo",
+        "hi",
+        F.lit(bins).alias("bins"),
+        F.when(F.col("lo").isNull() & (F.col("bin") >= 0), OUTSIDE)
+        .otherwise(F.col("bin"))
+        .alias("bin"),
+        "n",
     )
 
 
-def _literal_pairs(ranges: Ranges, end: int) -> list[Column]:
-    pairs: list[Column] = []
-    for feature, span in ranges.items():
-        if span is not None:
-            pairs += [F.lit(feature), F.lit(span[end])]
-    return pairs
-
-
-def psi_against_profile(stored: DataFrame, new: DataFrame, bins: int = BINS) -> DataFrame:
-    """PSI of ``new`` against a stored :func:`profile`, without the baseline rows."""
-    spans = stored.select("feature", "lo", "hi").distinct().collect()
+def psi_against_profile(stored: DataFrame, new: DataFrame) -> DataFrame:
+    """PSI of ``new`` against a stored :func:`profile`, in its bins, without the baseline rows."""
+    spans = stored.select("feature", "lo", "hi", "bins").distinct().collect()
+    counts = {r["bins"] for r in spans}
+    if len(counts) != 1:
+        raise ValueError(f"the profile has {len(counts)} numbers of bins")
+    (bins,) = counts
     spans = [r for r in spans if r["feature"] in new.columns]
-    ranges: Ranges = {r["feature"]: (r["lo"], r["hi"]) for r in spans}
-    fresh = histogram(new, ranges, bins).withColumn("side", F.lit(NEW))
+    ranges: Ranges = {
+        r["feature"]: None if r["lo"] is None else (r["lo"], r["hi"]) for r in spans
+    }
+    fresh = histogram(new, _all_ranges(ranges), bins).withColumn("side", F.lit(NEW))
     kept = stored.where(F.col("feature").isin(list(ranges))).select(
         "feature", "bin", "n", F.lit(BASE).alias("side")
     )
-    return psi_from_counts(kept.unionByName(fresh), bins)
+    return psi_from_counts(_regrouped(kept.unionByName(fresh)), bins)
 
 
 def flag(psi_table: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Add ``drifted`` (PSI strictly above the threshold) and ``status``."""
-    return psi_table.withColumns(
-        {"drifted": F.col("psi") > F.lit(threshold), "status": F.lit("compared")}
-    )
+    """Add ``drifted``: PSI strictly above the threshold, NULL where there is none."""
+    flagged = psi_table.withColumn("drifted", F.col("psi") > F.lit(threshold))
+    if "status" in psi_table.columns:
+        return flagged
+    return flagged.withColumn("status", F.lit(COMPARED))
 
 
 def _absent_features(
@@ -174,10 +223,11 @@ def drift_report(
     bins: int = BINS,
     combined_range: bool = False,
 ) -> DataFrame:
-    """PSI, flag and counts per feature; every feature is checked.
+    """PSI, flag and counts: one row per feature.
 
-    A feature that only one table has is reported with a NULL PSI and status
-    ``missing_in_new`` or ``missing_in_base``.
+    What cannot be compared has a NULL PSI and its own status: ``missing_in_new`` or
+    ``missing_in_base`` for a column only one table has, ``no_new_values`` or
+    ``no_baseline_values`` for one that is empty on a side.
     """
     if columns is None:
         columns = list(dict.fromkeys([*base.columns, *new.columns]))
@@ -188,11 +238,11 @@ def drift_report(
 
 
 def drift_report_from_profile(
-    stored: DataFrame, new: DataFrame, threshold: float = THRESHOLD, bins: int = BINS
+    stored: DataFrame, new: DataFrame, threshold: float = THRESHOLD
 ) -> DataFrame:
     """:func:`drift_report` with the baseline given as a stored profile."""
     known = [r["feature"] for r in stored.select("feature").distinct().collect()]
-    report = flag(psi_against_profile(stored, new, bins), threshold)
+    report = flag(psi_against_profile(stored, new), threshold)
     absent = _absent_features(
         new.sparkSession, list(dict.fromkeys([*known, *new.columns])), known, new.columns
     )
@@ -233,20 +283,28 @@ def schema_report(base: DataFrame, new: DataFrame) -> DataFrame:
 def retrain_gate(report: DataFrame) -> DataFrame:
     """One row ``(decision, reason, n_drifted, max_psi)`` from a drift report.
 
-    Any drifted feature means retraining. A feature the new table lacks halts
-    the run: there is nothing sound to train on.
+    Any drifted feature means retraining. A feature the new table lacks, or lacks every
+    value of, halts the run: there is nothing sound to train on. A feature that the
+    baseline has no values of cannot have been learnt from and means retraining too.
     """
-    missing = F.count_if(F.col("status") == "missing_in_new")
+    missing = F.count_if(F.col("status").isin("missing_in_new", NO_NEW))
+    unknown = F.count_if(F.col("status") == NO_BASELINE)
     drifted = F.count_if(F.coalesce(F.col("drifted"), F.lit(False)))
     summary = report.agg(
         missing.alias("n_missing_features"),
         drifted.alias("n_drifted"),
+        unknown.alias("n_unknown"),
         F.max("psi").alias("max_psi"),
     )
     lacking, drift = F.col("n_missing_features") > 0, F.col("n_drifted") > 0
+    new_to_model = F.col("n_unknown") > 0
     return summary.select(
-        F.when(lacking, HALT).when(drift, RETRAIN).otherwise(KEEP).alias("decision"),
-        F.when(lacking, "missing_feature").when(drift, "drift").otherwise("stable").alias("reason"),
+        F.when(lacking, HALT).when(drift | new_to_model, RETRAIN).otherwise(KEEP).alias("decision"),
+        F.when(lacking, "missing_feature")
+        .when(drift, "drift")
+        .when(new_to_model, NO_BASELINE)
+        .otherwise("stable")
+        .alias("reason"),
         "n_drifted",
         "max_psi",
     )

@@ -21,11 +21,21 @@ def _number(column: str) -> Column:
     return F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
 
 
+def _finite(column: str) -> Column:
+    """The column as double with NaN and infinities as NULL."""
+    number = _number(column)
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
+
+
 def range_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(feature, lo, hi)`` of all columns from one pass; NULL where all values are missing."""
+    """``(feature, lo, hi)`` of all columns' finite values from one pass; NULL where there are none.
+
+    An infinity would make every edge NaN; it has no place in a range and so is
+    counted as outside.
+    """
     one_row = df.agg(
-        *[F.min(_number(c)).alias(f"lo{i}") for i, c in enumerate(columns)],
-        *[F.max(_number(c)).alias(f"hi{i}") for i, c in enumerate(columns)],
+        *[F.min(_finite(c)).alias(f"lo{i}") for i, c in enumerate(columns)],
+        *[F.max(_finite(c)).alias(f"hi{i}") for i, c in enumerate(columns)],
     )
     rows = [
         F.struct(

@@ -9,14 +9,14 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import digest, drawn, hex_bound, values_hash
-from tidemark.session import shuffle_partitions
+from tidemark.session import shuffle_partitions, stage, staging
 
 TRAIN = "train"
 TEST = "test"
 MAX_CLASSES = 1_000  # label values whose counts are brought to the driver
 COPIES_PER_BLOCK = 64  # copies one input row may become within one task
 _RADIX_HEX = 4  # hex digits settled per pass of the exact split
-_RADIX_PASSES = 3  # after which no two of 16 ** 12 keys are likely to be left
+_DIGEST_HEX = 32  # digits of a whole digest
 _LISTED = 100_000  # rows few enough to order by their whole digests
 
 
@@ -30,12 +30,18 @@ def class_counts(df: DataFrame, label: str) -> DataFrame:
     return df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
 
 
-def oversampling_ratios(df: DataFrame, label: str) -> dict[object, float]:
-    """Per class, how often each row must appear to match the largest class."""
+def oversampling_ratios(
+    df: DataFrame, label: str, max_classes: int = MAX_CLASSES
+) -> dict[object, float]:
+    """Per class, how often each row must appear to match the largest class.
+
+    The classes come to the driver; more than ``max_classes`` of them are refused. Rows
+    with a null label belong to no class.
+    """
     labelled = df.where(F.col(label).isNotNull())
-    rows = class_counts(labelled, label).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} values: not a class label")
+    rows = class_counts(labelled, label).limit(max_classes + 1).collect()
+    if len(rows) > max_classes:
+        raise ValueError(f"{label} has more than {max_classes} values: not a class label")
     if len(rows) < 2:
         raise ValueError(f"{label} has {len(rows)} class(es): nothing to balance")
     largest = max(row["n"] for row in rows)
@@ -58,25 +64,39 @@ def balance(
     ratios: dict[object, float] | None = None,
     copy_column: str | None = None,
     only: Column | None = None,
+    null_labels: str = "drop",
 ) -> DataFrame:
     """Bring every class up to the size of the largest by repeating its rows.
 
     Each row of a class with ratio r appears floor(r) times and, for a share of
-    rows chosen by key hash, once more. All rows of the largest class are kept
-    once. ``copy_column``, if given, numbers a row's copies from 1. Rows for which
+    rows chosen by key hash, once more; a ratio below 1 so thins its class. All rows of
+    the largest class are kept once. ``copy_column``, if given, numbers a row's copies from 1. Rows for which
     ``only`` does not hold, or whose class has no ratio, are passed through once.
-    Rows with a null label belong to no class and are dropped.
+    Rows with a null label belong to no class: they are left out (``drop``), passed through
+    once (``keep``) or fail the query (``error``).
+
+    Where a class must be repeated more than COPIES_PER_BLOCK times, the table is staged
+    first, so that what it is computed from is read once.
     """
     ratios = oversampling_ratios(df, label) if ratios is None else ratios
+    if any(not r >= 0 for r in ratios.values()):
+        raise ValueError("ratios must not be negative")
     whole = _per_class(label, {k: int(math.floor(r)) for k, r in ratios.items()}, 1)
     bounds = {k: hex_bound(r - math.floor(r)) for k, r in ratios.items()}
     extra = drawn(_identity(df, key), salt, _per_class(label, bounds, hex_bound(0.0)))
     copies = whole + extra.cast("int")
     if only is not None:
         copies = F.when(only, copies).otherwise(1)
-    sized = df.where(F.col(label).isNotNull()).withColumn("__copies", copies)
+    refused = F.raise_error(F.lit(f"a row without {label} cannot be balanced")).cast("int")
+    of_null = {"drop": F.lit(0), "keep": F.lit(1), "error": refused}
+    if null_labels not in of_null:
+        raise ValueError(f"null_labels must be one of {', '.join(of_null)}")
+    copies = F.when(F.col(label).isNull(), of_null[null_labels]).otherwise(copies)
+    sized = df.withColumn("__copies", copies).where(F.col("__copies") >= 1)
     name = copy_column or "__copy"
     rare = [value for value, ratio in ratios.items() if ratio > COPIES_PER_BLOCK]
+    if rare:
+        sized = stage(sized, "sized")
     is_rare = F.col(label).isin(rare)
     usual = sized.where(~is_rare) if rare else sized
     out = usual.withColumn(name, F.explode(F.sequence(F.lit(1), F.col("__copies"))))
@@ -139,7 +159,7 @@ def _cutoff_digest(df: DataFrame, mark: Column, test_size: float) -> str | None:
     so far: at most 16 ** 4 counts, whatever the table's size. The digests left
     at the end are few, even if many rows carry the same one.
     """
-    hashed = df.select(mark.alias("d"))
+    hashed = stage(df.select(mark.alias("d")), "digests")
 
     def step(prefix: str, next_part: Column, target: Column) -> Row | None:
         counts = (
@@ -158,15 +178,15 @@ def _cutoff_digest(df: DataFrame, mark: Column, test_size: float) -> str | None:
     # The first pass also learns the number of rows.
     target = F.ceil(F.lit(test_size) * F.sum("n").over(Window.partitionBy()))
     prefix = ""
-    for _ in range(_RADIX_PASSES):
+    while len(prefix) < _DIGEST_HEX:
         row = step(prefix, F.substring("d", len(prefix) + 1, _RADIX_HEX), target)
         if row is None:
             return None
         prefix += row["part"]
         target = F.lit(row["target"] - (row["upto"] - row["n"]))
         if row["n"] <= _LISTED:
-            break
-    return step(prefix, F.col("d"), target)["part"]
+            return step(prefix, F.col("d"), target)["part"]
+    return prefix
 
 
 def split_exact(
@@ -183,7 +203,8 @@ def split_exact(
     passes over the key columns; marking is then a comparison per row.
     """
     mark = digest(list(key), salt)
-    cutoff = _cutoff_digest(df, mark, test_size)
+    with staging(df.sparkSession):  # the digests; they are all that is read again
+        cutoff = _cutoff_digest(df, mark, test_size)
     if cutoff is None:
         return df.withColumn(column, F.lit(TRAIN))
     return df.withColumn(column, F.when(mark <= cutoff, TEST).otherwise(TRAIN))

@@ -22,8 +22,8 @@ def numeric_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(feature, n, mean, stddev)`` for all columns from one pass over ``df``."""
     one_row = df.agg(
         *[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(columns)],
-        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)],
-        *[F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(columns)],
+        *[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(columns)],
+        *[F.stddev_samp(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(columns)],
     )
     rows = [
         F.struct(
@@ -58,7 +58,7 @@ def apply_scaler(df: DataFrame, scaling: Scaling) -> DataFrame:
         return df
     return df.withColumns(
         {
-            column + SCALED: (F.col(column) - F.lit(mean)) / F.lit(divisor)
+            column + SCALED: (F.col(column).cast("double") - F.lit(mean)) / F.lit(divisor)
             for column, (mean, divisor) in scaling.stats.items()
         }
     )

@@ -33,13 +33,14 @@ def check_drift(
     threshold: float = drift.THRESHOLD,
     combined_range: bool = False,
     originals_only: bool = True,
+    bins: int | None = None,
 ) -> tuple[DataFrame | None, DataFrame]:
     """``(report, gate)`` for the last snapshot against the promoted model's.
 
     Uses the baseline profile stored at promotion, so that only the new snapshot
     is read; a combined range needs, and reads, both. Without a promoted model
     there is no report and the gate says to train. ``originals_only=False``
-    compares rows as balanced.
+    compares rows as balanced. ``bins`` other than the profile's need both snapshots too.
     """
     spark = registry.spark
     promoted = registry.current(model_name)
@@ -47,10 +48,14 @@ def check_drift(
         return None, drift.gate_without_baseline(spark)
     candidate = registry.last_snapshot()
     new = snapshot_features(registry, candidate, label, originals_only)
-    if combined_range or not originals_only:
+    if combined_range or not originals_only or bins is not None:
         base = snapshot_features(registry, promoted["snapshot_id"], label, originals_only)
         report = drift.drift_report(
-            base, new, threshold=threshold, combined_range=combined_range
+            base,
+            new,
+            threshold=threshold,
+            bins=bins or drift.BINS,
+            combined_range=combined_range,
         )
     else:
         stored = spark.read.parquet(registry.profile_path(promoted["snapshot_id"]))
@@ -108,10 +113,19 @@ def _store_profile(registry: Registry, snapshot_id: str, label: str) -> None:
 
 
 def retrain_if_needed(
-    registry: Registry, model_name: str, label: str, **training: object
+    registry: Registry,
+    model_name: str,
+    label: str,
+    threshold: float = drift.THRESHOLD,
+    combined_range: bool = False,
+    originals_only: bool = True,
+    bins: int | None = None,
+    **training: object,
 ) -> tuple[str, str]:
-    """Check drift and train if it says so; returns ``(decision, reason)``."""
-    _, gate = check_drift(registry, model_name, label)
+    """:func:`check_drift` and train if it says so; returns ``(decision, reason)``."""
+    _, gate = check_drift(
+        registry, model_name, label, threshold, combined_range, originals_only, bins
+    )
     verdict = gate.first()
     if verdict["decision"] == drift.HALT:
         raise ValueError("the new snapshot lacks a feature of the promoted model")

@@ -13,7 +13,7 @@ from tidemark.operators.categories import CategoryIndex, apply_index, fit_index
 from tidemark.operators.clean import clean, select_features
 from tidemark.operators.sampling import TRAIN, balance, oversampling_ratios, split
 from tidemark.operators.scaling import Scaling, apply_scaler, fit_scaler
-from tidemark.session import discard, scratch_path, stage_at
+from tidemark.session import discard, stage, staging
 from tidemark.sources.ledgers import Registry
 from tidemark.sources.snapshots import (
     COPY,
@@ -78,7 +78,12 @@ class Prepared:
     table: DataFrame
     state: FeatureState
     label: str
-    staged: str  # path of the cleaned rows the table is computed from
+    staged: list[str]  # paths of what the table is computed from
+
+    def discard(self) -> None:
+        """Delete what was staged, once the table has been written."""
+        for path in self.staged:
+            discard(self.table.sparkSession, path)
 
 
 def fit_state(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> FeatureState:
@@ -97,6 +102,7 @@ def prepare(
     order: str = "split_first",
     state: FeatureState | None = None,
     test_size: float = 0.2,
+    invalid: str = "keep",
 ) -> Prepared:
     """Clean, scale, index, balance and split a raw table.
 
@@ -105,8 +111,26 @@ def prepare(
     balances everything and splits last. With a ``state`` nothing is learned
     anew and the features stay comparable with those it came from.
 
-    The cleaned table is staged once; each later pass reads only its columns.
+    ``invalid`` says what becomes of feature values a given state has not seen: as in
+    :func:`apply_index`. A label it has not seen is always an error, as two new
+    classes under one index would be balanced and trained on as one.
+
+    The cleaned table is staged once; each later pass reads only its columns. What was
+    staged is deleted if this fails; else it belongs to the result.
     """
+    with staging(df.sparkSession, keep="") as paths:
+        return _prepare(df, spec, order, state, test_size, invalid, paths)
+
+
+def _prepare(
+    df: DataFrame,
+    spec: FeatureSpec,
+    order: str,
+    state: FeatureState | None,
+    test_size: float,
+    invalid: str,
+    paths: list[str],
+) -> Prepared:
     if order not in ORDERS:
         raise ValueError(f"order must be one of {', '.join(ORDERS)}")
     cleaned = clean(df, spec)
@@ -116,8 +140,7 @@ def prepare(
         cleaned = cleaned.withColumn(_ROW, values_hash(cleaned.columns))
         key = [_ROW]
     early = order == "split_first"
-    path = scratch_path(df.sparkSession, "cleaned")
-    staged = stage_at(split(cleaned, key, test_size) if early else cleaned, path)
+    staged = stage(split(cleaned, key, test_size) if early else cleaned, "cleaned")
     in_train = F.col(SPLIT) == TRAIN
     learn_from = staged.where(in_train) if early else staged
     if state is None:
@@ -127,20 +150,30 @@ def prepare(
     label = spec.label + INDEXED
 
     kept = [*key, SPLIT] if early else key
-    table = select_features(to_features(staged, state), also=kept)
+    features = FeatureState(
+        state.scaling,
+        CategoryIndex(
+            {c: v for c, v in state.index.labels.items() if c != spec.label}, state.index.wide
+        ),
+    )
+    table = to_features(apply_index(staged, _label_index(spec.label, state), "error"), features, invalid)
+    table = select_features(table, also=kept)
     ratios = _ratios_by_index(learn_from, spec.label, state)
     table = balance(
         table, label, key, ratios=ratios, copy_column=COPY, only=in_train if early else None
     )
     if not early:
         table = split(table, [*key, COPY], test_size)
-    return Prepared(table.drop(*key), state, label, path)
+    return Prepared(table.drop(*key), state, label, paths)
+
+
+def _label_index(label: str, state: FeatureState) -> CategoryIndex:
+    return CategoryIndex({label: state.index.labels[label]})
 
 
 def _ratios_by_index(df: DataFrame, label: str, state: FeatureState) -> dict[object, float]:
     """Oversampling ratios keyed by the label's index, from a pass over the label only."""
-    only_label = CategoryIndex({label: state.index.labels[label]})
-    indexed = apply_index(df.select(label), only_label)
+    indexed = apply_index(df.select(label), _label_index(label, state), "error")
     return oversampling_ratios(indexed, label + INDEXED)
 
 
@@ -152,11 +185,13 @@ def prepare_snapshot(
     snapshot_id: str | None = None,
     order: str = "split_first",
     refit: bool = False,
+    invalid: str = "keep",
 ) -> str:
     """Prepare a table, write it as a snapshot and record it; returns the id.
 
     If a model is in force its snapshot's state is reused, so that a change of
-    scale or of category frequencies shows up as drift; ``refit`` learns anew.
+    scale or of category frequencies shows up as drift; ``refit`` learns anew. ``invalid``
+    is passed on to :func:`prepare`. Nothing staged is left behind, also after an error.
     """
     spark = registry.spark
     promoted = None if refit else registry.current(model_name)
@@ -165,11 +200,11 @@ def prepare_snapshot(
         if promoted is None
         else FeatureState.load(spark, registry.state_path(promoted["snapshot_id"]))
     )
-    prepared = prepare(df, spec, order, state)
     snapshot_id = snapshot_id or new_snapshot_id(spark)
-    write_snapshot(prepared.table, registry.snapshot_root, snapshot_id)
-    discard(spark, prepared.staged)
-    prepared.state.save(spark, registry.state_path(snapshot_id))
+    with staging(spark):
+        prepared = prepare(df, spec, order, state, invalid=invalid)
+        write_snapshot(prepared.table, registry.snapshot_root, snapshot_id)
+        prepared.state.save(spark, registry.state_path(snapshot_id))
     rows = read_snapshot(spark, registry.snapshot_root, snapshot_id).count()
     registry.record_snapshot(snapshot_id, rows)
     return snapshot_id

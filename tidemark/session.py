@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,9 +50,41 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[app].name
 
 
+# Paths given out within the innermost `staging` block, if any.
+_staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    inside = _staged.get()
+    if inside is not None:
+        inside.append(path)
+    return path
+
+
+@contextmanager
+def staging(spark: SparkSession, keep: str | None = None) -> Iterator[list[str]]:
+    """Delete what was staged within the block when it ends, also by an error.
+
+    Paths named ``keep`` (all, if that is empty) outlive a block that ends well; they then
+    belong to the block around it or, without one, to the caller.
+    """
+    outer, own = _staged.get(), []
+    token = _staged.set(own)
+    kept: list[str] = []
+    try:
+        yield own
+        if keep is not None:
+            name = f"{keep}-" if keep else ""
+            kept = [p for p in own if p.rpartition("/")[2].startswith(name)]
+    finally:
+        _staged.reset(token)
+        for path in own:
+            if path not in kept:
+                discard(spark, path)
+        if outer is not None:
+            outer.extend(kept)
 
 
 def use_checkpoints(spark: SparkSession) -> None:

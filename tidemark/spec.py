@@ -40,18 +40,24 @@ class FeatureSpec:
         )
 
 
-def column_roles(df: DataFrame, exclude: Sequence[str] = ()) -> tuple[list[str], list[str]]:
-    """Split columns by type: int and double are numeric, all others categorical.
+def column_roles(
+    df: DataFrame, exclude: Sequence[str] = (), narrow: bool = False
+) -> tuple[list[str], list[str]]:
+    """Split columns by type: numbers of any width are numeric, all others categorical.
+
+    With ``narrow`` only int and double are, so that identifiers kept as bigint, but
+    also numbers that have outgrown an int, are categories.
 
     Columns already scaled (``*_scaled``) are numeric results, not categories,
     and are left out of both lists.
     """
     numeric: list[str] = []
     categorical: list[str] = []
+    numbers = (T.IntegerType, T.DoubleType) if narrow else T.NumericType
     for field in df.schema.fields:
         if field.name in exclude or field.name.endswith(SCALED):
             continue
-        is_number = isinstance(field.dataType, (T.IntegerType, T.DoubleType))
+        is_number = isinstance(field.dataType, numbers)
         (numeric if is_number else categorical).append(field.name)
     return numeric, categorical
 
