@@ -63,6 +63,9 @@ RULES = (
     ("all-rights-reserved", (21,)),
 )
 
+#: Licences that do not allow any use.
+CLOSED = ("all-rights-reserved", "CC-BY-NC-4.0")
+
 # A sentence ends at a line's end, or at a mark before white space.
 _BREAK = r"\n+|(?<=[.:;!?])\s+"
 _ODD = "[^a-z0-9]+"
@@ -77,7 +80,7 @@ def _plain(sentence: str) -> str:
     return re.sub(_ODD, " ", sentence.lower()).strip()
 
 
-def _known(sentences: dict[int, str]) -> dict[str, str]:
+def known_parts(sentences: dict[int, str]) -> dict[str, str]:
     """Identifier, as text, of each normalised part of the known sentences, which may break up.
 
     The parts of a sentence that holds a break itself get the identifier in turn; all but the
@@ -91,9 +94,17 @@ def _known(sentences: dict[int, str]) -> dict[str, str]:
     return known
 
 
+def chains_of(rules: tuple, sentences: dict[int, str]) -> list[tuple[str, str]]:
+    """For each rule the line of its identifiers, comma-bounded, and its licence."""
+    of: dict[int, list[str]] = {}
+    for part in known_parts(sentences).values():
+        of.setdefault(int(part.split(".")[0]), []).append(part)
+    return [("," + ",".join(x for n in ids for x in of[n]) + ",", name) for name, ids in rules]
+
+
 def sentence_ids(text: Column, sentences: dict[int, str]) -> Column:
     """Identifiers of a text's sentences in order, ``0`` for those unknown; empty ones are left out."""
-    known = _known(sentences)
+    known = known_parts(sentences)
     pairs = [F.lit(x) for item in sorted(known.items()) for x in item]
     table = F.create_map(*pairs)
     parts = F.filter(F.transform(F.split(text, _BREAK), normalised), lambda s: s != "")
@@ -116,11 +127,7 @@ def scan(
     empty table gives no rows. The whole text is read.
     """
     sentences = SENTENCES if sentences is None else sentences
-    known = _known(sentences)
-    of: dict[int, list[str]] = {}
-    for part in known.values():
-        of.setdefault(int(part.split(".")[0]), []).append(part)
-    chains = [("," + ",".join(x for n in ids for x in of[n]) + ",", name) for name, ids in rules]
+    chains = chains_of(rules, sentences)
     ids = sentence_ids(F.coalesce("text", F.lit("")), sentences)
     line = F.concat(F.lit(","), F.array_join("ids", ","), F.lit(","))
     found = []
@@ -131,7 +138,6 @@ def scan(
             hit = hit & ~F.col("line").contains(c)
         found.append(F.when(hit, F.lit(name)))
     named = F.array_sort(F.array_distinct(F.array_compact(F.array(*found))))
-    closed = ["all-rights-reserved", "CC-BY-NC-4.0"]
     return (
         pick(docs, "doc_id", "text")
         .select("doc_id", ids.alias("ids"))
@@ -145,7 +151,7 @@ def scan(
             F.size("named").cast("long").alias("n_licences"),
             (
                 (F.size("named") > 0)
-                & ~F.arrays_overlap("named", F.array(*map(F.lit, closed)))
+                & ~F.arrays_overlap("named", F.array(*map(F.lit, CLOSED)))
             ).alias("permissive"),
         )
     )

@@ -1,3 +1,93 @@
 """Results of the text operators stated in SQL, where SQL can express them."""
 
+from __future__ import annotations
+
+import string
+
+from tidemark.llm.licenses import CLOSED, RULES, SENTENCES, chains_of, known_parts
+
 ORACLE: dict[str, str] = {}
+
+
+def text_of(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def listed(values: list[str]) -> str:
+    return "[" + ", ".join(map(text_of, values)) + "]"
+
+
+# --- licence scans: sentences, their identifiers in a line, rules found in the line
+
+_KNOWN = known_parts(SENTENCES)
+_CHAINS = chains_of(RULES, SENTENCES)
+
+
+def _rule(chain: str, name: str) -> str:
+    longer = [c for c, other in _CHAINS if chain in c and c != chain and other != name]
+    hit = [f"contains(line, '{chain}')", *(f"not contains(line, '{c}')" for c in longer)]
+    return f"case when {' and '.join(hit)} then {text_of(name)} end"
+
+
+ORACLE["op2_licenses"] = f"""with cut as (
+    select doc_id, list_filter(list_transform(
+        string_split_regex(regexp_replace(coalesce(text, ''), '([.:;!?])[ \\t\\n\\x0b\\f\\r]+', '\\1' || chr(10), 'g'), '\\n+'),
+        lambda s: trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'))), lambda s: s <> '') parts
+    from documents),
+  told as (select doc_id, list_transform(parts, lambda s: coalesce(
+        map({listed(list(_KNOWN))}, {listed(list(_KNOWN.values()))})[s], '0')) ids from cut),
+  lined as (select *, ',' || array_to_string(ids, ',') || ',' line from told),
+  named as (select *, list_sort(list_distinct(list_filter(
+        [{", ".join(_rule(*c) for c in _CHAINS)}], lambda x: x is not null))) names from lined)
+  select doc_id, len(ids)::bigint n_sentences,
+    len(list_filter(ids, lambda x: x <> '0'))::bigint n_known,
+    coalesce(array_to_string(names, ','), '') licences, len(names)::bigint n_licences,
+    len(names) > 0 and not list_has_any(names, {listed(list(CLOSED))}) permissive
+  from named"""
+
+# --- decontamination: windows of items and of documents as texts
+
+_WORDS = (
+    f"regexp_extract_all(translate(coalesce(text, ''), '{string.ascii_uppercase}', "
+    f"'{string.ascii_lowercase}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+ORACLE["op5_decontaminate"] = f"""with d as (select doc_id, {_WORDS} w from documents),
+  b as (select item_id::varchar item, {_WORDS} w from benchmark where item_id is not null),
+  bw as (select distinct item, least(10, len(w)) k,
+           array_to_string(w[i : i + least(10, len(w)) - 1], ' ') g
+         from b, unnest(range(1, len(w) - least(10, len(w)) + 2)) t(i) where len(w) > 0),
+  ks as (select distinct k from bw),
+  dg as (select doc_id, k, i, array_to_string(w[i : i + k - 1], ' ') g
+         from d, ks, unnest(range(1, len(w) - k + 2)) t(i)),
+  hit as (select doc_id, i, k, item from dg join bw using (g, k)),
+  pos as (select doc_id, count(distinct p) n_hit
+          from hit, unnest(range(i, i + k)) u(p) group by doc_id),
+  it as (select doc_id, count(distinct item) n_items,
+           string_agg(distinct item, ',' order by item) items from hit group by doc_id)
+  select doc_id, len(w)::bigint n_words, coalesce(n_hit, 0) n_hit, coalesce(n_items, 0) n_items,
+    sha256(coalesce(items, '')) items_sha256, coalesce(n_hit, 0) > 0 contaminated
+  from d left join pos using (doc_id) left join it using (doc_id)"""
+
+# --- chat: what is read back is what went in; escapes lengthen a turn by one each
+
+_TAIL = "(/?s>|/?INST\\])"
+
+
+def _written(column: str) -> str:
+    escaped = f"regexp_replace({column}, '([<\\[])(\\\\*){_TAIL}', '\\1\\\\\\2\\3', 'g')"
+    return f"length(case when conflict then {escaped} else {column} end)"
+
+
+_ORDER = "order by turn nulls first, r, t"
+ORACLE["op10_chat"] = f"""with c as (
+    select conv_id, turn, coalesce(role, '') r, coalesce(text, '') t from conversations union all
+    select -1, i, ['user', 'assistant'][i + 1], '</s>[INST] ok [/INST]' from range(0, 2) x(i)),
+  k as (select *, regexp_matches(r || chr(10) || t,
+          '</?s>|\\[/?INST\\]|[<\\[]\\\\+{_TAIL}') conflict from c),
+  g as (select conv_id, count(*) n_turns,
+          string_agg(r || chr(10) || t || chr(10), '' {_ORDER}) told,
+          string_agg(case when r = 'assistant' then t else '' end, '' {_ORDER}) loss,
+          sum(22 + {_written("r")} + {_written("t")})::bigint formatted_chars
+        from k group by conv_id)
+  select conv_id, n_turns, sha256(told) turns_sha256, length(loss)::bigint loss_chars,
+    sha256(loss) loss_sha256, formatted_chars from g"""
