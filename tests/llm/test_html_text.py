@@ -28,6 +28,15 @@ def test_article_without_what_surrounds_it():
     ]
 
 
+def test_containers_by_name():
+    page = """<div class="main-nav"><p>Go here and there and everywhere on this site today now</p></div>
+    <div class="content with-sidebar"><div class="post-header"><h1>Head</h1></div><p>Body one.</p>
+    <p class="advert">Buy this thing here now, it is very cheap for all of you</p><p>Body two.</p>
+    <div hidden><p>Unseen words that nobody reads at all on this page, ever</p></div>
+    <article class="comment"><p>I like it a lot and so does my whole family, thank you</p></article></div>"""
+    assert html_text.main_text(page) == "Head\n\nBody one.\n\nBody two."
+
+
 def test_special_pages(spark, clashing):
     long = "<article>" + "<p>" + "word " * 50_000 + "</p><p>x</p>" * 5000 + "</article>"
     pages = [

@@ -43,6 +43,11 @@ OUTSIDE_WORDS = frozenset(
     "replies reply search share sharing sidebar signup social sponsor sponsored subscribe "
     "tags toolbar widget".split()
 )
+#: Of these, what makes even an article element something else.
+FOREIGN_WORDS = frozenset(
+    "ad ads advert advertisement comment comments promo promoted related reply sponsored".split()
+)
+BESIDE_WORDS = frozenset("has no with without".split())
 INSIDE_WORDS = frozenset("article body content entry main post story text".split())
 
 _TOKEN = re.compile(
@@ -51,6 +56,7 @@ _TOKEN = re.compile(
     re.S | re.I,
 )
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_UNSEEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|display\s*:\s*none", re.I)
 _PARTS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 
 FEATURES = (
@@ -184,15 +190,20 @@ def _container(tag: str, attributes: str) -> int | None:
     """-1 or 1 for a container that tells what it holds, else None."""
     if tag in ("body", "html"):
         return None
+    if _UNSEEN.search(attributes):
+        return -1
     named = " ".join("".join(m) for m in _NAMED.findall(attributes))
     words = {w.lower() for w in _PARTS.findall(named)}
+    out = words & OUTSIDE_WORDS
+    if words & BESIDE_WORDS:  # says what stands beside it, as in "with-sidebar"
+        out -= {"sidebar", "nav", "menu", "footer", "header"}
+    if words & INSIDE_WORDS:
+        out -= {"header"}  # the heading of an article
     if tag in INSIDE:
-        return -1 if words & OUTSIDE_WORDS and not words & INSIDE_WORDS else 1
-    if tag in OUTSIDE:
+        return -1 if out & FOREIGN_WORDS else 1
+    if tag in OUTSIDE or out:
         return -1
-    if words & INSIDE_WORDS and not words & {"comment", "comments", "sidebar", "ad", "ads"}:
-        return 1
-    return -1 if words & OUTSIDE_WORDS else None
+    return 1 if words & INSIDE_WORDS else None
 
 
 def blocks(page: str) -> Iterator[tuple[str, int, int, bool, int]]:
@@ -201,13 +212,15 @@ def blocks(page: str) -> Iterator[tuple[str, int, int, bool, int]]:
     parts: list[str] = []
     linked = 0
     in_link = heading = False
+    own: int | None = None  # what the block's own element tells
 
     def block() -> Iterator[tuple[str, int, int, bool, int]]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
                 words = text.count(" ") + 1
-                yield text, words, min(words, linked), heading, stack[-1][1]
+                told = -1 if own == -1 else stack[-1][1]
+                yield text, words, min(words, linked), heading, told
 
     at = 0
     for token in _TOKEN.finditer(page):
@@ -229,6 +242,7 @@ def blocks(page: str) -> Iterator[tuple[str, int, int, bool, int]]:
         yield from block()
         parts, linked = [], 0
         heading = tag in HEADINGS and not closing
+        own = None if closing or tag in CONTAINERS else _container(tag, token[4])
         if tag not in CONTAINERS or token[4].endswith("/"):
             continue
         if not closing:
