@@ -36,3 +36,37 @@ def test_stage_and_discard(spark):
         spark.read.parquet(path)
     with pytest.raises(ValueError, match="not staged"):
         session.discard(spark, "/somewhere/else")
+
+
+def test_shuffles_are_sized_for_a_block(spark, monkeypatch, data):
+    from tidemark import session
+
+    df = spark.read.parquet(f"{data}/lineitem.parquet").groupBy("l_partkey").count()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    monkeypatch.setattr(session, "SHUFFLE_BYTES", 20_000)
+    with session.sized_shuffles(df) as parts:
+        assert parts > int(before)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(parts)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_staging_deletes_on_success_and_error(spark):
+    from pathlib import Path
+
+    from tidemark.session import scratch_path, staging
+
+    made = []
+
+    def write(name):
+        path = scratch_path(spark, name)
+        spark.range(3).write.parquet(path)
+        made.append(Path(path.removeprefix("file:")))
+
+    with staging(spark, keep="wanted"):
+        write("wanted")
+        write("passing")
+    assert made[0].exists() and not made[1].exists()
+    with pytest.raises(ZeroDivisionError), staging(spark):
+        write("broken")
+        1 / 0
+    assert not made[2].exists()

@@ -10,7 +10,7 @@ from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-SHUFFLE_BYTES = 512 << 20  # input per shuffle partition
+SHUFFLE_BYTES = 128 << 20  # input, as compressed in its files, per shuffle partition
 UNKNOWN_BYTES = 1 << 60  # Spark reports a size like this when it knows none
 
 # Kept alive so that the folder goes away with the process (local runs only).
@@ -119,11 +119,9 @@ def stage_at(df: DataFrame, path: str) -> DataFrame:
     Cuts lineage so that later passes neither repeat a shuffle nor depend on
     lost executors, and, unlike a checkpoint, keeps column pruning and pushdown.
     """
-    spark = df.sparkSession
-    parts = str(shuffle_partitions(df))
-    with session_setting(spark, "spark.sql.shuffle.partitions", parts):
+    with sized_shuffles(df):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -152,3 +150,16 @@ def session_setting(spark: SparkSession, key: str, value: str) -> Iterator[None]
             spark.conf.unset(key)
         else:
             spark.conf.set(key, before)
+
+
+@contextmanager
+def sized_shuffles(*frames: DataFrame) -> Iterator[int]:
+    """Run jobs on lazily returned tables with shuffles sized to what the largest reads.
+
+    ``with sized_shuffles(result): result.write...``; yields the number of partitions. The setting is
+    the session's, so jobs of other threads that start meanwhile get it too.
+    """
+    parts = max(shuffle_partitions(df) for df in frames)
+    spark = frames[0].sparkSession
+    with session_setting(spark, "spark.sql.shuffle.partitions", str(parts)):
+        yield parts
