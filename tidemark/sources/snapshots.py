@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import snapshot_stamp
 from tidemark.operators.sampling import TEST, TRAIN
-from tidemark.session import session_setting
+from tidemark.session import session_setting, stage, staging
 from tidemark.sources.csv import read_csv, write_csv
 
 SPLIT = "split"
@@ -56,11 +56,13 @@ def write_snapshot_csv(df: DataFrame, root: str, snapshot_id: str) -> None:
     """The same snapshot as two CSV folders, ``<id>_train`` and ``<id>_test``.
 
     Features and label share a file: two separate writes of one distributed
-    table would not keep their rows in step.
+    table would not keep their rows in step. The table is staged, so that it is computed once.
     """
-    for side in (TRAIN, TEST):
-        rows = df.where(F.col(SPLIT) == side).drop(SPLIT)
-        write_csv(rows, f"{root.rstrip('/')}/{snapshot_id}_{side}")
+    with staging(df.sparkSession):
+        staged = stage(df, "csv-snapshot")
+        for side in (TRAIN, TEST):
+            rows = staged.where(F.col(SPLIT) == side).drop(SPLIT)
+            write_csv(rows, f"{root.rstrip('/')}/{snapshot_id}_{side}")
 
 
 def read_snapshot_csv(
