@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.session import discard, scratch_path, stage_at
 
 FOLDS = 5  # fixed value: one fold in five is held out
+SLICE_ROWS = 400  # documents whose terms are counted at a time
 BLOCK_ROWS = 4096  # members of a group compared in one task
 BROADCAST_GROUPS = 100_000  # keys of large groups sent to every task; beyond, a join shuffles
 SLOT_ROWS = 200_000  # rows ranked in one task
@@ -70,6 +71,21 @@ def stage_once(df: DataFrame, name: str) -> DataFrame:
     return stage_at(df, scratch_path(df.sparkSession, name))
 
 
+def in_slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``, to bound what a task holds at a time."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)
+        pa.default_memory_pool().release_unused()
+
+
+def text_slices(values: pa.Array, rows: int = SLICE_ROWS) -> Iterator[list]:
+    """Python values of an Arrow array, a few at a time; what Arrow held goes back to the system."""
+    for low in range(0, len(values), rows):
+        yield values.slice(low, rows).to_pylist()
+    pa.default_memory_pool().release_unused()
+
+
 # ---------------------------------------------------------------- groups in blocks
 
 

@@ -13,12 +13,12 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from tidemark.llm.common import pick
+from tidemark.llm.common import pick, text_slices
 
 # HTML's own lists of elements.
 HIDDEN = "script|style|template|noscript|svg|iframe|object|textarea|select|title|math|canvas"
@@ -276,10 +276,10 @@ def main_text(page: str | None) -> str:
 def text_of(page: str) -> Column:
     """A column with the main text of column ``page``."""
 
-    def texts(pages: pd.Series) -> pd.Series:
-        return pages.map(main_text)
+    def texts(pages: pa.Array) -> pa.Array:
+        return pa.array([main_text(x) for part in text_slices(pages) for x in part], pa.string())
 
-    return F.pandas_udf(texts, StringType())(page)
+    return F.arrow_udf(texts, StringType())(page)
 
 
 def extract(pages: DataFrame) -> DataFrame:

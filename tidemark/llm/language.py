@@ -14,13 +14,12 @@ from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from tidemark.llm.common import Carried, held_out, pick
+from tidemark.llm.common import Carried, held_out, in_slices, pick, text_slices
 
 NGRAMS = (3, 4)  # characters; a gap between words counts as one
 SLOTS_LOG2 = 19
@@ -88,7 +87,7 @@ class Model(NamedTuple):
 
 
 def _count_ngrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in in_slices(batches):
         texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for lang in sorted(set(langs)):
             own = [_text_letters(t[:SAMPLE_CHARS]) for t, x in zip(texts, langs) if x == lang]
@@ -231,11 +230,15 @@ _RESULT = StructType([StructField("lang", StringType()), StructField("score", Do
 def language_of(model: Model, text: str) -> Column:
     """A column with ``lang`` and ``score`` of column ``text``."""
 
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        names, scores = score_texts(texts.tolist(), model)
-        return pd.DataFrame({"lang": names, "score": scores})
+    def predict(texts: pa.Array) -> pa.Array:
+        parts = [score_texts(part, model) for part in text_slices(texts)]
+        names = [name for own, _ in parts for name in own]
+        scores = [score for _, own in parts for score in own.tolist()]
+        return pa.StructArray.from_arrays(
+            [pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang", "score"]
+        )
 
-    return F.pandas_udf(predict, _RESULT)(text)
+    return F.arrow_udf(predict, _RESULT)(text)
 
 
 def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:

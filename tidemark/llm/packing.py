@@ -14,23 +14,22 @@ from __future__ import annotations
 import re
 from collections import deque
 from collections.abc import Iterator
-from functools import lru_cache, partial
+from functools import cached_property, lru_cache, partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers
 
-from tidemark.llm.common import pick, stage_once, with_slots
+from tidemark.llm.common import in_slices, pick, stage_once, text_slices, with_slots
 
 CAPACITY = 2048
 END_ID = 1  # fixed value: closes each document
 MAX_SLACK = 8  # padding left in a window before a piece is cut to fill it
-CACHED_WORDS = 400_000  # words whose ids a task remembers
-LEARNT_WORDS = 500  # words tokenised in one call
+CACHED_WORDS = 100_000  # new words after which a task forgets those it has not met again
+LEARNT_WORDS = 60  # words tokenised in one call
 SLICE_DOCS = 200  # documents tokenised at a time
 
 
@@ -54,49 +53,61 @@ class WordIds:
 
     White space is dropped and ends every token, so a text's ids are those of its words
     in order. Texts beyond Latin letters, or that may hold special tokens, go to the
-    tokenizer whole.
+    tokenizer whole. Words not met for a while are forgotten: what was used since the last
+    ``CACHED_WORDS`` new ones, and before that, is kept.
     """
 
     def __init__(self, path: str) -> None:
-        self.tokenizer = Tokenizer.from_file(path)
-        self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-        (self.between,) = self._encode(_BETWEEN)
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, text: str) -> np.ndarray:
-        (got,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        self.path = path
+        self.plain = Tokenizer.from_file(path)  # for text that is normalised already
+        self.plain.normalizer = normalizers.Sequence([])
+        self.kind = np.uint16 if self.plain.get_vocab_size() <= 1 << 16 else np.uint32
+        (self.between,) = self._encode(self.plain, _BETWEEN)
+        self.recent: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+
+    @cached_property
+    def whole(self) -> Tokenizer:
+        return Tokenizer.from_file(self.path)
+
+    def _encode(self, tokenizer: Tokenizer, text: str) -> np.ndarray:
+        (got,) = tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.array(got.ids, dtype=self.kind)
 
     def _learn(self, words: set[str]) -> None:
         new = list(words)
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
         for first in range(0, len(new), LEARNT_WORDS):
             some = new[first : first + LEARNT_WORDS]
-            ids = self._encode(f" {_BETWEEN} ".join(some))
+            ids = self._encode(self.plain, f" {_BETWEEN} ".join(some))
             stops = [*np.flatnonzero(ids == self.between).tolist(), len(ids)]
             raw, wide, low = ids.tobytes(), ids.itemsize, 0
             for word, stop in zip(some, stops, strict=True):
-                self.known[word] = raw[low * wide : stop * wide]
+                self.recent[word] = raw[low * wide : stop * wide]
                 low = stop + 1
 
     def of(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of each text."""
-        known, out, gaps = self.known.get, [], []
+        recent, before, out, gaps = self.recent, self.before, [], []
         for text in texts:
             if "<|" in text or not _PLAIN.fullmatch(text):
-                out.append([self._encode(text).tobytes()])
+                out.append([self._encode(self.whole, text).tobytes()])
                 continue
             words = text.lower().split()
-            ids = list(map(known, words))
+            ids = list(map(recent.get, words))
             out.append(ids)
             at = -1
             for _ in range(ids.count(None)):
                 at = ids.index(None, at + 1)
-                gaps.append((ids, at, words[at]))
+                word = words[at]
+                if word in before:
+                    ids[at] = recent[word] = before[word]
+                else:
+                    gaps.append((ids, at, word))
         self._learn({word for _, _, word in gaps})
         for ids, at, word in gaps:
-            ids[at] = self.known[word]
+            ids[at] = recent[word]
+        if len(recent) > CACHED_WORDS:
+            self.before, self.recent = recent, {}
         return [b"".join(ids) for ids in out]
 
 
@@ -109,26 +120,24 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int) -> Iter
     ids_of = _word_ids(path)
     wide = ids_of.kind().itemsize
     end = np.array([END_ID], dtype=ids_of.kind).tobytes()
-    for batch in batches:
-        for low in range(0, batch.num_rows, SLICE_DOCS):
-            part = batch.slice(low, SLICE_DOCS)
-            doc_ids, rows = part.column(0), []
-            for i, raw in enumerate(ids_of.of([t or "" for t in part.column(1).to_pylist()])):
-                raw += end
-                total = len(raw) // wide
-                for start in range(0, total, capacity):
-                    ids = raw[start * wide : (start + capacity) * wide]
-                    rows.append((i, start, len(ids) // wide, total, ids))
-            at, starts, lengths, totals, ids = zip(*rows)
-            yield pa.record_batch(
-                {
-                    "doc_id": doc_ids.take(pa.array(at)),
-                    "start": pa.array(starts, type=pa.int64()),
-                    "length": pa.array(lengths, type=pa.int32()),
-                    "doc_tokens": pa.array(totals, type=pa.int64()),
-                    "ids": pa.array(ids, type=pa.binary()),
-                }
-            )
+    for part in in_slices(batches, SLICE_DOCS):
+        doc_ids, rows = part.column(0), []
+        for i, raw in enumerate(ids_of.of([t or "" for t in part.column(1).to_pylist()])):
+            raw += end
+            total = len(raw) // wide
+            for start in range(0, total, capacity):
+                ids = raw[start * wide : (start + capacity) * wide]
+                rows.append((i, start, len(ids) // wide, total, ids))
+        at, starts, lengths, totals, ids = zip(*rows)
+        yield pa.record_batch(
+            {
+                "doc_id": doc_ids.take(pa.array(at)),
+                "start": pa.array(starts, type=pa.int64()),
+                "length": pa.array(lengths, type=pa.int32()),
+                "doc_tokens": pa.array(totals, type=pa.int64()),
+                "ids": pa.array(ids, type=pa.binary()),
+            }
+        )
 
 
 def tokenise(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
@@ -230,10 +239,13 @@ def pack_lengths(
 def _widened(ids: Column, wide: int) -> Column:
     narrow = np.uint16 if wide == 2 else np.uint32
 
-    def widen(values: pd.Series) -> pd.Series:
-        return values.map(lambda b: np.frombuffer(b, dtype=narrow).astype("<u4").tobytes())
+    def widen(values: pa.Array) -> pa.Array:
+        every = (b for part in text_slices(values) for b in part)
+        return pa.array(
+            [np.frombuffer(b, dtype=narrow).astype("<u4").tobytes() for b in every], pa.binary()
+        )
 
-    return F.pandas_udf(widen, BinaryType())(ids)
+    return F.arrow_udf(widen, BinaryType())(ids)
 
 
 def pack(

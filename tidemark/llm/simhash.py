@@ -14,7 +14,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -29,6 +28,7 @@ from tidemark.llm.common import (
     sorted_groups,
     spanning_links,
     stage_once,
+    text_slices,
 )
 
 SHINGLE_WORDS = 3  # fixed value
@@ -74,15 +74,15 @@ def fingerprint_bits(text: str | None, width: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view(np.uint64)[0])
 
 
-def _fingerprint(texts: pd.Series) -> pd.Series:
-    values = np.fromiter((fingerprint_bits(t) for t in texts), dtype=np.uint64, count=len(texts))
-    return pd.Series(values.view(np.int64))
+def _fingerprint(texts: pa.Array) -> pa.Array:
+    every = (fingerprint_bits(t) for part in text_slices(texts) for t in part)
+    return pa.array(np.fromiter(every, dtype=np.uint64, count=len(texts)).view(np.int64))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``fp`` (signed long) for every document; null text gives zero."""
     return pick(docs, "doc_id", "text").select(
-        "doc_id", F.pandas_udf(_fingerprint, LongType())("text").alias("fp")
+        "doc_id", F.arrow_udf(_fingerprint, LongType())("text").alias("fp")
     )
 
 
@@ -203,7 +203,7 @@ def keep_first(docs: DataFrame) -> DataFrame:
     carried = Carried(docs)
     text, doc_id = carried.name("text"), carried.name("doc_id")
     marked = stage_once(
-        carried.plain.withColumn("fp", F.pandas_udf(_fingerprint, LongType())(text)), "marked"
+        carried.plain.withColumn("fp", F.arrow_udf(_fingerprint, LongType())(text)), "marked"
     )
     kept = (
         components(marked.select(F.col(doc_id).alias("doc_id"), "fp"))

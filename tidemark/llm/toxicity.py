@@ -17,14 +17,13 @@ from typing import NamedTuple
 
 import ahocorasick
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType
 
-from tidemark.llm.common import Carried, held_out, pick, stage_once
+from tidemark.llm.common import Carried, held_out, in_slices, pick, stage_once, text_slices
 
 SAMPLE_DOCS = 20_000  # labelled documents read when fitting
 SAMPLE_CHARS = 50_000  # of each of them
@@ -147,7 +146,7 @@ def score_texts(texts: list[str | None], grammar: Grammar) -> np.ndarray:
 
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """In how many toxic and other documents each word and word beginning (with ``*``) is."""
-    for batch in batches:
+    for batch in in_slices(batches):
         counts: dict[str, list[int]] = {}
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             words = set(_WORD.findall(text[:SAMPLE_CHARS].lower()))
@@ -170,17 +169,17 @@ def _without_copies(sample: DataFrame) -> DataFrame:
     ``SKETCHES`` hash functions, with another.
     """
 
-    def sketch(texts: pd.Series) -> pd.Series:
+    def sketch(texts: pa.Array) -> pa.Array:
         out = []
-        for text in texts:
+        for text in (t for part in text_slices(texts) for t in part):
             words = text[:SAMPLE_CHARS].encode("utf-8", "surrogatepass").split()
             grams = {b" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))}
             out.append(
                 [min(xxhash.xxh64_intdigest(g, k) for g in grams) >> 1 for k in range(SKETCHES)]
             )
-        return pd.Series(out)
+        return pa.array(out, pa.list_(pa.int64()))
 
-    marked = sample.select("text", "toxic", F.pandas_udf(sketch, ArrayType(LongType()))("text").alias("s"))
+    marked = sample.select("text", "toxic", F.arrow_udf(sketch, ArrayType(LongType()))("text").alias("s"))
     for k in range(SKETCHES):
         marked = marked.withColumn(f"s{k}", F.col("s")[k])
     for k in range(SKETCHES):
@@ -288,10 +287,11 @@ def _fit_weights(x: np.ndarray, y: np.ndarray, n: np.ndarray, pull: float = 1.0)
 def toxicity_of(grammar: Grammar, text: str) -> Column:
     """A column with the score of column ``text``."""
 
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(score_texts(texts.tolist(), grammar), dtype="float64")
+    def score(texts: pa.Array) -> pa.Array:
+        parts = [score_texts(part, grammar) for part in text_slices(texts)]
+        return pa.array(np.concatenate([np.zeros(0), *parts]), pa.float64())
 
-    return F.pandas_udf(score, DoubleType())(text)
+    return F.arrow_udf(score, DoubleType())(text)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, grammar: Grammar | None = None) -> DataFrame:
