@@ -69,6 +69,11 @@ CLOSED = ("all-rights-reserved", "CC-BY-NC-4.0")
 # A sentence ends at a line's end, or at a mark before white space.
 _BREAK = r"\n+|(?<=[.:;!?])\s+"
 _ODD = "[^a-z0-9]+"
+_MARK = r"(?<=[.:;!?])\s+"
+# Words that comment out a line; other comment marks have no letters.
+_COMMENT = "(?:dnl|rem|c)"
+_NUMBER = "(?:[0-9]{1,2}|[a-z]|[ivx]{1,4})"
+_NUMBERED = rf"([\x01\n][^a-z0-9\n\x01]*)({_NUMBER})(?:\)[ \t]*|\.(?=[a-z]))"
 
 
 def normalised(sentence: Column) -> Column:
@@ -103,13 +108,35 @@ def chains_of(rules: tuple, sentences: dict[int, str]) -> list[tuple[str, str]]:
 
 
 def sentence_ids(text: Column, sentences: dict[int, str]) -> Column:
-    """Identifiers of a text's sentences in order, ``0`` for those unknown; empty ones are left out."""
+    """Identifiers of a text's sentences in order, ``0`` for those unknown; empty ones are left out.
+
+    A known sentence is found also where it is wrapped: single line ends, with comment marks, are
+    white space within it, empty lines are not. A list number before it is no part of it;
+    one cut off as a sentence of its own is ``-``. What is not known is cut at line ends.
+    """
     known = known_parts(sentences)
     pairs = [F.lit(x) for item in sorted(known.items()) for x in item]
     table = F.create_map(*pairs)
-    parts = F.filter(F.transform(F.split(text, _BREAK), normalised), lambda s: s != "")
+    # 1 ends a sentence, 2 follows a list number; what stands in their place in a text is no word.
+    cut = F.regexp_replace(F.translate(F.lower(text), "\x01\x02", "--"), _MARK, "\x01")
+    cut = F.concat(F.lit("\x01"), cut, F.lit("\x01"))
+    cut = F.regexp_replace(cut, _NUMBERED, "$1$2\x02")
+    cut = F.regexp_replace(cut, r"[^a-z0-9\n\x01\x02]+", " ")
+    cut = F.regexp_replace(cut, r"[ \n]*\x01[ \n\x01]*| ?\n ?\n[ \n]*", "\x01")
+    cut = F.regexp_replace(cut, r" ?\n ?", "\n")
+    wrapped = "|".join(k.replace(" ", rf"(?: |\n(?:{_COMMENT} )?)") for k in sorted(known))
+    lead = rf"(?:{_COMMENT} )?(?:{_NUMBER} ?\x02 ?)?"
+    either = rf"(?<=[\x01\n]){lead}(?:{wrapped})(?=[\x01\n])|[^\x01\n]+"
+    parts = F.regexp_extract_all(cut, F.lit(either), F.lit(0))
+    bare = F.transform(
+        parts, lambda s: F.regexp_replace(F.regexp_replace(s, rf"\n(?:{_COMMENT} )?", " "), rf"^{lead}", "")
+    )
+    bare = F.filter(F.transform(bare, normalised), lambda s: s != "")
     return F.transform(
-        parts, lambda s: F.when(s.isin(sorted(known)), F.element_at(table, s)).otherwise(F.lit("0"))
+        bare,
+        lambda s: F.when(s.isin(sorted(known)), F.element_at(table, s))
+        .when(s.rlike(rf"^(?:{_NUMBER}|{_COMMENT})$"), F.lit("-"))
+        .otherwise(F.lit("0")),
     )
 
 
@@ -122,14 +149,15 @@ def scan(
 
     ``licences`` has the licences found, without repeats, sorted and comma-joined; a rule
     whose sentences lie within those of an earlier rule of more sentences still counts only if
-    its licence differs and the longer one is absent. Null, empty and wordless texts have no
+    its licence differs and the longer one is absent. A known sentence counts once, however it
+    is wrapped; list numbers between known sentences do not part them. Null, empty and wordless texts have no
     sentences. Repeated rows come back as often as given; other columns are ignored; an
     empty table gives no rows. The whole text is read.
     """
     sentences = SENTENCES if sentences is None else sentences
     chains = chains_of(rules, sentences)
     ids = sentence_ids(F.coalesce("text", F.lit("")), sentences)
-    line = F.concat(F.lit(","), F.array_join("ids", ","), F.lit(","))
+    line = F.concat(F.lit(","), F.array_join(F.filter("ids", lambda x: x != "-"), ","), F.lit(","))
     found = []
     for chain, name in chains:
         longer = [c for c, other in chains if chain in c and c != chain and other != name]
@@ -146,7 +174,7 @@ def scan(
         .select(
             "doc_id",
             F.size("ids").cast("long").alias("n_sentences"),
-            F.size(F.filter("ids", lambda x: x != "0")).cast("long").alias("n_known"),
+            F.size(F.filter("ids", lambda x: ~x.isin("0", "-"))).cast("long").alias("n_known"),
             F.array_join("named", ",").alias("licences"),
             F.size("named").cast("long").alias("n_licences"),
             (
