@@ -185,9 +185,13 @@ def _tree():
 # ---------------------------------------------------------------- blocks
 
 
+#: Containers outside by a form or a class word alone; those in such a one or named foreign; articles in them.
+LOOSE, NAMED, LIFTED = -0.25, -0.5, 2
+
+
 @lru_cache(maxsize=10_000)
-def _container(tag: str, attributes: str) -> int | None:
-    """-1 or 1 for a container that tells what it holds, else None."""
+def _container(tag: str, attributes: str) -> float | None:
+    """-1, ``LOOSE``, ``NAMED`` or 1 for a container that tells what it holds, else None."""
     if tag in ("body", "html"):
         return None
     if _UNSEEN.search(attributes):
@@ -201,25 +205,53 @@ def _container(tag: str, attributes: str) -> int | None:
         out -= {"header"}  # the heading of an article
     if tag in INSIDE:
         return -1 if out & FOREIGN_WORDS else 1
-    if tag in OUTSIDE or out:
+    if tag in OUTSIDE and tag != "form":
         return -1
+    if tag == "form" or out:
+        return NAMED if out & FOREIGN_WORDS else LOOSE
     return 1 if words & INSIDE_WORDS else None
 
 
-def blocks(page: str) -> Iterator[tuple[str, int, int, bool, int]]:
+def _within(held: float, told: float | None, tag: str) -> float:
+    """What a container holds that lies in one that holds ``held``."""
+    if told is None or held == -1:
+        return held
+    if held in (LOOSE, NAMED):
+        if told == 1:
+            return LIFTED if tag in INSIDE else held
+        return NAMED if told == LOOSE else told
+    return LIFTED if held == LIFTED and told == 1 else told
+
+
+def _settled(found: list[tuple[str, int, int, bool, float]]) -> list[int]:
+    """The container of each block: -1 outside, 1 inside, 0 not told.
+
+    A name that most of the page's words lie under wraps the page and tells nothing: an article
+    in it is inside, and without one, or next to none, its blocks are not told.
+    """
+    words = dict.fromkeys((-1, NAMED, LOOSE, 0, 1, LIFTED), 0)
+    for _, n, linked, _, container in found:
+        words[container] += n - linked
+    kinds = {NAMED: -1, LOOSE: -1, LIFTED: 1 if words[LIFTED] > words[1] else -1}
+    if words[LOOSE] > words[0] + 10 * (words[1] + words[LIFTED]):
+        kinds[LOOSE] = 0
+    return [kinds.get(b[4], b[4]) for b in found]
+
+
+def blocks(page: str) -> Iterator[tuple[str, int, int, bool, float]]:
     """Text, words, words within links, heading, container of each flat block."""
-    stack: list[tuple[str, int]] = [("", 0)]
+    stack: list[tuple[str, float]] = [("", 0)]
     parts: list[str] = []
     linked = 0
     in_link = heading = False
-    own: int | None = None  # what the block's own element tells
+    own: float | None = None  # what the block's own element tells
 
-    def block() -> Iterator[tuple[str, int, int, bool, int]]:
+    def block() -> Iterator[tuple[str, int, int, bool, float]]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
                 words = text.count(" ") + 1
-                told = -1 if own == -1 else stack[-1][1]
+                told = -1 if own is not None and own < 0 else stack[-1][1]
                 yield text, words, min(words, linked), heading, told
 
     at = 0
@@ -249,9 +281,9 @@ def blocks(page: str) -> Iterator[tuple[str, int, int, bool, int]]:
             if tag == "body":
                 del stack[1:]  # an unclosed head ends here
             told, held = _container(tag, token[4]), stack[-1][1]
-            if tag == "header" and held == 1:
+            if tag == "header" and held in (1, LIFTED):
                 told = None  # the heading of an article
-            stack.append((tag, held if held == -1 or told is None else told))
+            stack.append((tag, _within(held, told, tag)))
         elif any(name == tag for name, _ in stack):
             while stack.pop()[0] != tag:
                 pass
@@ -265,10 +297,11 @@ def main_text(page: str | None) -> str:
     found = list(blocks(page or ""))
     density = [b[2] / b[1] for b in found]
     tree, kept = _tree(), []
-    for i, (text, words, _, heading, container) in enumerate(found):
+    containers = _settled(found)
+    for i, (text, words, _, heading, _) in enumerate(found):
         before = (found[i - 1][1], density[i - 1]) if i else (0, 0.0)
         after = (found[i + 1][1], density[i + 1]) if i + 1 < len(found) else (0, 0.0)
-        if decide(tree, (words, density[i], *before, *after, int(heading), container)):
+        if decide(tree, (words, density[i], *before, *after, int(heading), containers[i])):
             kept.append(text)
     return "\n\n".join(kept)
 
