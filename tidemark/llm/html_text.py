@@ -142,13 +142,76 @@ LABELLED = (
     (4, 1.0, 5, 1.0, 4, 1.0, 0, 1, 0),
     (6, 1.0, 6, 1.0, 5, 1.0, 0, 1, 0),
     (3, 1.0, 4, 1.0, 3, 1.0, 0, 1, 0),
+    # article text beside links, at either end of a page
+    (40, 0.0, 1, 0.0, 3, 1.0, 0, 1, 1),
+    (70, 0.0, 0, 0.0, 5, 1.0, 0, 1, 1),
+    (6, 0.0, 2, 0.0, 4, 1.0, 0, 1, 1),
+    (8, 0.0, 3, 1.0, 0, 0.0, 0, 1, 1),
+    (15, 0.0, 5, 1.0, 1, 0.0, 0, 1, 1),
+    (3, 0.0, 9, 1.0, 9, 1.0, 1, 1, 1),
+    (30, 0.0, 1, 0.5, 5, 0.0, 0, 1, 1),
+    (5, 0.0, 2, 0.6, 9, 0.0, 0, 1, 1),
+    (60, 0.0, 2, 0.5, 34, 0.1, 0, 0, 1),
+    (95, 0.0, 2, 0.4, 0, 0.0, 0, 0, 1),
+    # headings that are links
+    (6, 1.0, 4, 0.0, 20, 0.0, 1, -1, 0),
+    (3, 1.0, 0, 0.0, 4, 1.0, 1, -1, 0),
+    (7, 1.0, 30, 0.0, 60, 0.0, 1, -1, 0),
 )
 
+#: Labelled pages without a telling container: words, link density, heading, main text of each block.
+PAGES = (
+    # article between a menu and a list of links, its last paragraph short
+    ((1, 1.0, 0, 0), (2, 1.0, 0, 0), (6, 0.0, 1, 1), (60, 0.0, 0, 1), (45, 0.1, 0, 1), (12, 0.0, 0, 1), (70, 0.0, 0, 1),
+     (30, 0.0, 0, 1), (3, 1.0, 0, 0), (4, 1.0, 0, 0), (9, 0.6, 0, 0)),
+    ((9, 1.0, 0, 0), (5, 0.0, 1, 1), (80, 0.0, 0, 1), (18, 0.0, 0, 1), (8, 1.0, 0, 0), (14, 1.0, 0, 0)),
+    ((4, 1.0, 0, 0), (3, 0.0, 1, 1), (25, 0.0, 0, 1), (50, 0.2, 0, 1), (22, 0.0, 0, 1), (2, 1.0, 0, 0)),
+    ((3, 1.0, 0, 0), (8, 0.0, 1, 1), (140, 0.0, 0, 1), (13, 0.0, 0, 1), (6, 1.0, 0, 0), (5, 1.0, 0, 0)),
+    # references and short headings within the text
+    ((2, 1.0, 0, 0), (7, 0.0, 1, 1), (55, 0.1, 0, 1), (2, 0.0, 1, 1), (33, 0.0, 0, 1), (1, 0.0, 1, 1), (15, 0.0, 0, 1),
+     (40, 0.0, 0, 1), (10, 1.0, 0, 0), (12, 0.9, 0, 0), (11, 1.0, 0, 0)),
+    ((6, 0.0, 1, 1), (20, 0.0, 0, 1), (4, 0.0, 1, 1), (28, 0.0, 0, 1), (3, 0.0, 1, 1), (17, 0.1, 0, 1), (5, 0.0, 1, 1),
+     (90, 0.0, 0, 1), (7, 0.3, 0, 1), (65, 0.0, 0, 1), (26, 0.0, 0, 1), (1, 1.0, 0, 0), (1, 1.0, 0, 0)),
+    # rows of many link words before and amid text
+    ((12, 1.0, 0, 0), (40, 0.0, 0, 1), (16, 1.0, 0, 0), (52, 0.0, 0, 1), (9, 0.9, 0, 0), (24, 0.0, 0, 1)),
+    ((30, 1.0, 0, 0), (7, 0.0, 1, 1), (34, 0.0, 0, 1), (60, 0.8, 0, 0), (38, 0.1, 0, 1), (7, 1.0, 0, 0), (75, 0.0, 0, 1)),
+    ((6, 1.0, 0, 0), (100, 0.0, 0, 1), (20, 0.7, 0, 0), (44, 0.3, 0, 1), (8, 0.8, 0, 0), (35, 0.0, 0, 1), (120, 0.9, 0, 0)),
+    # dialogue and other short paragraphs one after another
+    ((1, 1.0, 0, 0), (5, 0.0, 1, 1), (48, 0.0, 0, 1), (6, 0.0, 0, 1), (9, 0.0, 0, 1), (4, 0.0, 0, 1), (11, 0.0, 0, 1),
+     (7, 0.0, 0, 1), (36, 0.0, 0, 1), (5, 1.0, 0, 0)),
+    # dates, labels and notices between links
+    ((2, 1.0, 0, 0), (3, 0.0, 0, 0), (4, 1.0, 0, 0), (7, 0.0, 0, 0), (3, 1.0, 0, 0), (2, 0.0, 1, 0), (5, 1.0, 0, 0),
+     (8, 0.0, 0, 0), (6, 1.0, 0, 0), (5, 0.0, 1, 0), (1, 1.0, 0, 0), (9, 0.2, 0, 0), (2, 1.0, 0, 0)),
+    ((10, 1.0, 0, 0), (4, 0.0, 1, 0), (11, 1.0, 0, 0), (3, 0.0, 1, 0), (20, 1.0, 0, 0), (6, 0.0, 0, 0)),
+    ((12, 1.0, 0, 0), (6, 0.0, 0, 0), (14, 1.0, 0, 0), (9, 0.0, 0, 0), (15, 1.0, 0, 0), (14, 0.0, 0, 0), (20, 1.0, 0, 0)),
+    # one paragraph between links; a page that begins or ends with text
+    ((4, 1.0, 0, 0), (70, 0.0, 0, 1), (3, 1.0, 0, 0)),
+    ((2, 1.0, 0, 0), (48, 0.1, 0, 1), (15, 1.0, 0, 0), (200, 0.0, 0, 1), (12, 1.0, 0, 0)),
+    ((80, 0.0, 0, 1), (4, 1.0, 0, 0)),
+    ((10, 0.0, 1, 1), (45, 0.0, 0, 1), (7, 1.0, 0, 0), (50, 0.0, 0, 1)),
+    ((2, 0.0, 1, 1), (60, 0.0, 0, 1), (3, 1.0, 0, 0)),
+    ((1, 0.9, 0, 0), (85, 0.0, 0, 1), (9, 0.8, 0, 0)),
+    ((10, 0.8, 0, 0), (5, 0.0, 0, 0), (12, 0.9, 0, 0), (4, 0.0, 1, 0), (9, 0.7, 0, 0), (70, 0.0, 0, 1)),
+    # headings that are links, one after another
+    ((6, 1.0, 1, 0), (8, 1.0, 1, 0), (5, 1.0, 1, 0), (9, 1.0, 1, 0)),
+    ((5, 1.0, 0, 0), (110, 0.0, 0, 1), (31, 0.0, 0, 1), (3, 1.0, 0, 0), (4, 0.0, 0, 0), (2, 1.0, 0, 0), (6, 0.3, 0, 0)),
+)
+
+
+def labelled_pages(pages: tuple = PAGES) -> tuple:
+    """The blocks of ``pages`` as rows like those of ``LABELLED``."""
+    rows = []
+    for page in pages:
+        ends = ((0, 0.0), *((words, density) for words, density, _, _ in page), (0, 0.0))
+        for i, (words, density, heading, main) in enumerate(page):
+            rows.append((words, density, *ends[i], *ends[i + 2], heading, 0, main))
+    return tuple(rows)
+
 
 # ---------------------------------------------------------------- the tree
 
 
-def train_tree(rows: tuple = LABELLED, depth: int = 8):
+def train_tree(rows: tuple = LABELLED + labelled_pages(), depth: int = 8):
     """A tree of ``(feature, limit, below_or_equal, above)``, its leaves 0 or 1."""
     ones = sum(r[-1] for r in rows)
     if not depth or ones in (0, len(rows)):
