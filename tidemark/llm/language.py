@@ -9,7 +9,7 @@ claim by chance: with a share f of false positives, ``(hits - n f) / (1 - f)``.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from typing import NamedTuple
 
@@ -25,11 +25,11 @@ NGRAMS = (3, 4)  # characters; a gap between words counts as one
 SLOTS_LOG2 = 19
 HASHES = 2
 SAMPLE_DOCS = 2000  # labelled documents read for each language when fitting
-SAMPLE_CHARS = 20_000  # of each of them
 FILTER_NGRAMS = 30_000  # most frequent n-grams kept for each language and length
 OWN_SHARE = 0.3  # of the largest relative frequency that makes an n-gram a language's own
 MAX_LANGUAGES = 4096  # labels a model can hold
 SLICE_CHARS = 1 << 18  # scored at a time
+FIT_CHARS = 1 << 22  # counted at a time when fitting
 UNKNOWN = "und"
 
 _FACTORS = np.array(
@@ -90,18 +90,31 @@ def _count_ngrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in in_slices(batches):
         texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for lang in sorted(set(langs)):
-            own = [_text_letters(t[:SAMPLE_CHARS]) for t, x in zip(texts, langs) if x == lang]
-            for size in NGRAMS:
-                parts = [_hashes(x, size) for x in own]
-                grams, counts = np.unique(np.concatenate(parts), return_counts=True)
-                yield pa.record_batch(
-                    {
-                        "lang": pa.array([lang] * len(grams), type=pa.string()),
-                        "size": np.full(len(grams), size, dtype=np.int32),
-                        "gram": grams.view(np.int64),
-                        "n": counts.astype(np.int64),
-                    }
-                )
+            for own in _letter_slices(t for t, x in zip(texts, langs) if x == lang):
+                for size in NGRAMS:
+                    parts = [_hashes(x, size) for x in own]
+                    grams, counts = np.unique(np.concatenate(parts), return_counts=True)
+                    yield pa.record_batch(
+                        {
+                            "lang": pa.array([lang] * len(grams), type=pa.string()),
+                            "size": np.full(len(grams), size, dtype=np.int32),
+                            "gram": grams.view(np.int64),
+                            "n": counts.astype(np.int64),
+                        }
+                    )
+
+
+def _letter_slices(texts: Iterable[str]) -> Iterator[list[np.ndarray]]:
+    """Letters of whole texts, as many at a time as reach ``FIT_CHARS``."""
+    held, room = [], FIT_CHARS
+    for text in texts:
+        held.append(_text_letters(text))
+        room -= len(held[-1])
+        if room <= 0:
+            yield held
+            held, room = [], FIT_CHARS
+    if held:
+        yield held
 
 
 def fit(

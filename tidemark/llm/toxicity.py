@@ -26,7 +26,6 @@ from pyspark.sql.types import ArrayType, DoubleType, LongType
 from tidemark.llm.common import Carried, held_out, in_slices, pick, stage_once, text_slices
 
 SAMPLE_DOCS = 20_000  # labelled documents read when fitting
-SAMPLE_CHARS = 50_000  # of each of them
 STEMS = (4, 5, 6, 7, 8)  # lengths of word beginnings that may be learnt
 SKETCHES = 3  # hash functions that tell near copies in the sample
 MIN_EVIDENCE = 30.0  # log-likelihood ratio of a learnt word or beginning
@@ -149,7 +148,7 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in in_slices(batches):
         counts: dict[str, list[int]] = {}
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            words = set(_WORD.findall(text[:SAMPLE_CHARS].lower()))
+            words = set(_WORD.findall(text.lower()))
             terms = words | {w[:n] + "*" for w in words for n in STEMS if n < len(w)}
             for t in terms:
                 counts.setdefault(t, [0, 0])[1 - int(toxic)] += 1
@@ -172,7 +171,7 @@ def _without_copies(sample: DataFrame) -> DataFrame:
     def sketch(texts: pa.Array) -> pa.Array:
         out = []
         for text in (t for part in text_slices(texts) for t in part):
-            words = text[:SAMPLE_CHARS].encode("utf-8", "surrogatepass").split()
+            words = text.encode("utf-8", "surrogatepass").split()
             grams = {b" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))}
             out.append(
                 [min(xxhash.xxh64_intdigest(g, k) for g in grams) >> 1 for k in range(SKETCHES)]
