@@ -91,3 +91,50 @@ ORACLE["op10_chat"] = f"""with c as (
         from k group by conv_id)
   select conv_id, n_turns, sha256(told) turns_sha256, length(loss)::bigint loss_chars,
     sha256(loss) loss_sha256, formatted_chars from g"""
+
+# --- Merkle manifest: levels by recursion, siblings from the runs of each level, folded in order
+
+
+def _leaf_sql(text: str) -> str:
+    fields = ("doc_id::varchar", "source", "lang", "n_chars::varchar", text)
+    told = (f"case when {f} is null then '-' else strlen({f}) || ':' || {f} end" for f in fields)
+    return f"sha256({' || '.join(told)})"
+
+
+# CRC-32 of the digits of an id, bit by bit (fixed values: its polynomial and its start).
+_CRC32 = """xor(list_reduce(
+    list_transform(range(1, length(doc_id::varchar) + 1), lambda i: ascii(substr(doc_id::varchar, i, 1))::bigint),
+    lambda c, b: list_reduce(range(0, 8), lambda d, j: xor(d >> 1, 3988292384 * (d & 1)), xor(c, b)),
+    4294967295::bigint), 4294967295::bigint)"""
+_LEVELS = """select tree, lvl + 1, pos // 3, sha256(string_agg(digest, '' order by pos)), (n + 2) // 3
+    from {nodes} where n > 1 group by tree, lvl, pos // 3, n"""
+ORACLE["op13_merkle"] = f"""with recursive leaf as (
+    select doc_id, coalesce('=' || source, '') tree, {_leaf_sql("text")} leaf,
+      case when {_CRC32} % 2 = 0 then {_leaf_sql("replace(text, chr(10), '')")}
+        else {_leaf_sql("text")} end suspect from documents),
+  placed as (select *, count(*) over (partition by tree) n,
+      row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 pos from leaf),
+  low(tree, lvl, pos, digest, n) as (
+    select tree, 0, pos, leaf, n from placed union all {_LEVELS.format(nodes="low")}),
+  subroots as (select tree, digest subroot, row_number() over (order by tree) - 1 place,
+      count(*) over () n from low where n = 1),
+  high(tree, lvl, pos, digest, n) as (
+    select '', 0, place, subroot, n from subroots union all {_LEVELS.format(nodes="high")}),
+  runs as (select 0 part, tree, lvl, pos // 3 up, list(digest order by pos) run
+      from low where n > 1 group by tree, lvl, pos // 3 union all
+    select 1, tree, lvl, pos // 3, list(digest order by pos)
+      from high where n > 1 group by tree, lvl, pos // 3),
+  steps as (select p.tree, p.pos, r.part, r.lvl, r.run,
+      (case r.part when 0 then p.pos else s.place end) // (3 ** r.lvl)::bigint spot
+    from placed p join subroots s using (tree) join runs r
+      on r.tree = case r.part when 0 then p.tree else '' end
+      and r.up = (case r.part when 0 then p.pos else s.place end) // (3 ** (r.lvl + 1))::bigint),
+  paths as (select tree, pos, list({{'a': array_to_string(run[: spot % 3], ''),
+      'b': array_to_string(run[spot % 3 + 2 :], '')}} order by part, lvl) path
+    from steps group by tree, pos),
+  told as (select doc_id, leaf, subroot, digest root,
+      sha256(coalesce(array_to_string(list_transform(path, lambda x: x.a || x.b), ''), '')) proof_sha256,
+      coalesce(list_reduce(path, lambda s, x: {{'a': sha256(x.a || s.a || x.b), 'b': ''}},
+        {{'a': suspect, 'b': ''}}).a, suspect) folded_root
+    from placed join subroots using (tree) left join paths using (tree, pos), (select digest from high where n = 1))
+  select *, folded_root = root verified from told"""

@@ -14,6 +14,7 @@ from tidemark.llm import (
     html_text,
     language,
     licenses,
+    merkle,
     packing,
     sharding,
     simhash,
@@ -70,6 +71,10 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(chat.format_turns(rows.union(extra)))
 
 
+def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.audit_damaged(load(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_licenses": op2_licenses,
@@ -81,4 +86,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_html_text": op9_html_text,
     "op10_chat": op10_chat,
+    "op13_merkle": op13_merkle,
 }
