@@ -92,6 +92,40 @@ ORACLE["op10_chat"] = f"""with c as (
   select conv_id, n_turns, sha256(told) turns_sha256, length(loss)::bigint loss_chars,
     sha256(loss) loss_sha256, formatted_chars from g"""
 
+# --- WARC: digests in base 32 (five hex digits make four of its digits), the first of each payload
+
+_BASE32 = """array_to_string(list_transform(range(0, 32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      ((('0x' || substr(sha, (5 * (i // 4) + 1)::bigint, 5))::bigint >> (5 * (3 - i % 4))::int) & 31) + 1, 1)), '')"""
+ORACLE["op11_warc"] = f"""with p as (
+    select page_id, coalesce(html, '') body, sha1(coalesce(html, '')) sha from pages),
+  q as (select *, min(page_id) over (partition by body) least from p)
+  select page_id, strlen(body)::bigint payload_bytes, {_BASE32} payload_digest,
+    case when page_id = least then 'response' else 'revisit' end record_type,
+    case when page_id <> least then least end refers_to from q"""
+
+# --- ranked search: every document that shares a term with an item is scored
+
+_TERMS = (
+    f"regexp_extract_all(translate(coalesce(text, ''), '{string.ascii_uppercase}', "
+    f"'{string.ascii_lowercase}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+)
+ORACLE["op12_ranked"] = f"""with d as (
+    select row_number() over () rid, doc_id, {_TERMS} w from documents),
+  b as (select distinct item_id, text from benchmark),
+  bt as (select item_id, term, count(*) q
+    from (select item_id, {_TERMS} w from b), unnest(w) t(term) group by item_id, term),
+  dt as (select rid, term, count(*) tf from d, unnest(w) t(term) group by rid, term),
+  s as (select count(*) n_docs, sum(len(w))::bigint n_words from d where len(w) > 0),
+  df as (select term, count(*) df from dt group by term),
+  wt as (select term, floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::bigint w from df, s),
+  m as (select rid, doc_id, 25 + (75 * len(w) * n_docs) // n_words m from d, s),
+  scored as (select item_id, rid, doc_id, sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::bigint score
+    from bt join dt using (term) join wt using (term) join m using (rid) group by item_id, rid, doc_id),
+  ranked as (select item_id, doc_id, score, row_number() over (
+      partition by item_id order by score desc, doc_id nulls first)::int rank from scored where score > 0)
+  select * from ranked where rank <= 10"""
+
 # --- Merkle manifest: levels by recursion, siblings from the runs of each level, folded in order
 
 

@@ -16,11 +16,14 @@ from tidemark.llm import (
     licenses,
     merkle,
     packing,
+    ranked,
     sharding,
     simhash,
     toxicity,
+    warc,
 )
 from tidemark.llm.common import load, pick
+from tidemark.session import scratch_path
 
 
 def op1_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -71,6 +74,16 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(chat.format_turns(rows.union(extra)))
 
 
+def op11_warc(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.archive(load(spark, folder, "pages"), path)
+    return warc.read_pages(spark, path)
+
+
+def op12_ranked(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked.search(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
+
+
 def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.audit_damaged(load(spark, folder, "documents"))
 
@@ -86,5 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_html_text": op9_html_text,
     "op10_chat": op10_chat,
+    "op11_warc": op11_warc,
+    "op12_ranked": op12_ranked,
     "op13_merkle": op13_merkle,
 }
