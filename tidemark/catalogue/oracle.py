@@ -47,6 +47,14 @@ ORACLE["snapshot_ids"] = "select event_id, strftime(ts, '%Y%m%d%H%M%S') snapshot
 ORACLE["ledger_last"] = """select count(*) + 1 n, max(event_id) seq,
   arg_max(strftime(ts, '%Y%m%d%H%M%S'), event_id) snapshot_id, max(event_id) + 1 added
   from events"""
+ORACLE["ledger_folded"] = f"""with m as (
+    select strftime(o_orderdate, '%Y-%m') "month", count(*) n, {r6('avg(o_totalprice)')} mean_price
+    from orders group by 1)
+  select *, (select count(*) from m) n_seq, (select count(*) from m) last_seq from m"""
+ORACLE["snapshot_publish"] = f"""select o_orderstatus, split, count(*) n, {r6('sum(o_totalprice)')} total,
+    case o_orderstatus when 'F' then 1 else 2 end::bigint seq,
+    sum(count(*)) over (partition by o_orderstatus)::bigint n_rows, 1 n_swept
+  from ({_SPLIT_ORDERS}) where o_orderstatus <> 'P' group by o_orderstatus, split"""
 ORACLE["latest_record"] = """select event_type, max(event_id) event_id,
   arg_max(user_id, event_id) user_id, arg_max(ts, event_id) ts, arg_max(value, event_id) "value"
   from events group by event_type"""
@@ -382,6 +390,10 @@ ORACLE["schema_diff"] = """
   select 'l_linenumber', 'type_changed', count(l_linenumber) from lineitem union all
   select 'l_discount', 'missing_in_base', count(l_discount) from lineitem"""
 
+ORACLE["drift_report_disjoint"] = """select unnest(['l_quantity', 'l_tax', 'l_discount']) feature,
+  null::double psi, unnest(['missing_in_new', 'missing_in_new', 'missing_in_base']) status,
+  'halt' decision, 'missing_feature' reason"""
+
 # --- quality
 
 _RULED = """ruled as (select case when l_linestatus = 'F' then 1.0 else 0.0 end::double label,

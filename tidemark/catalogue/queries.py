@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -130,6 +132,53 @@ def ledger_last(spark, folder):
     )
 
 
+@query
+def ledger_folded(spark, folder):
+    # The orders of each month as a record of a ledger that four writers share and that is folded often.
+    months = (
+        load(spark, folder, "orders")
+        .groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("month"))
+        .agg(F.count(F.lit(1)).alias("n"), r6(F.avg("o_totalprice")).alias("mean_price"))
+        .collect()  # one row per month
+    )
+    schema = "seq bigint, month string, n bigint, mean_price double"
+    ledger = ledgers.Ledger(spark, scratch_path(spark, "ledger"), schema, fold_every=5)
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda row: ledger.append(**row.asDict()), months))
+    every = ledger.read()
+    n_seq, last = every.agg(F.count_distinct("seq"), F.max("seq")).first()
+    return every.select(
+        "month", "n", "mean_price", F.lit(n_seq).alias("n_seq"), F.lit(last).alias("last_seq")
+    )
+
+
+@query
+def snapshot_publish(spark, folder):
+    # Three jobs of one second: two publish the orders of a status, one dies after its table.
+    registry = Registry(spark, scratch_path(spark, "registry"))
+    orders = load(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    for status in ("F", "P", "O"):
+        rows = sampling.split(orders.where(F.col("o_orderstatus") == status), ["o_orderkey"])
+        snapshot_id = registry.reserve()
+        snapshots.write_snapshot(rows, registry.snapshot_root, snapshot_id)
+        if status != "P":
+            path = snapshots.snapshot_path(registry.snapshot_root, snapshot_id)
+            registry.publish(snapshot_id, rows.count(), table_path=path)
+    swept = registry.sweep(older_than=0)
+    found = []
+    for row in registry.snapshots.read().collect():  # the two manifests
+        table = snapshots.read_snapshot(spark, registry.snapshot_root, row["snapshot_id"])
+        seen = table.groupBy("o_orderstatus", "split").agg(
+            F.count(F.lit(1)).alias("n"), r6(F.sum("o_totalprice")).alias("total")
+        )
+        found.append(
+            seen.withColumns(
+                {"seq": F.lit(row["seq"]), "n_rows": F.lit(row["n_rows"]), "n_swept": F.lit(len(swept))}
+            )
+        )
+    return reduce(DataFrame.unionByName, found)
+
+
 @query
 def latest_record(spark, folder):
     events = load(spark, folder, "events")
@@ -706,6 +755,18 @@ def inject_shift_random(spark, folder):
     )
 
 
+@query
+def drift_report_disjoint(spark, folder):
+    # Tables that share no column: nothing to compare, and the gate halts.
+    lines = load(spark, folder, "lineitem")
+    report = drift.drift_report(lines.select("l_quantity", "l_tax"), lines.select("l_discount"))
+    verdict = drift.retrain_gate(report).first()
+    return report.select(
+        "feature", "psi", "status",
+        F.lit(verdict["decision"]).alias("decision"), F.lit(verdict["reason"]).alias("reason"),
+    )
+
+
 @query
 def schema_diff(spark, folder):
     lines = load(spark, folder, "lineitem")

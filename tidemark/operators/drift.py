@@ -51,6 +51,10 @@ def _bin_array(found: str, bins: int) -> Column:
     )
 
 
+PSI_SCHEMA = (
+    "feature string, psi double, n_base bigint, n_new bigint, n_out_of_range bigint, "
+    "n_missing bigint, status string"
+)
 COMPARED = "compared"
 NO_BASELINE = "no_baseline_values"
 NO_NEW = "no_new_values"
@@ -128,6 +132,8 @@ def psi_by_side(
     One pass finds the ranges and one counts, however many features there are.
     Every feature has a row, unless the table has none.
     """
+    if not columns:
+        return tagged.sparkSession.createDataFrame([], PSI_SCHEMA)
     ranged = tagged if combined_range else tagged.where(F.col("side") == BASE)
     ranges = feature_ranges(ranged, columns)
     counts = histogram(tagged, _all_ranges(ranges), bins, by=["side"])
@@ -153,6 +159,9 @@ def psi(
     return psi_by_side(tag_sides(base, new, columns), columns, bins, combined_range)
 
 
+PROFILE_SCHEMA = "feature string, lo double, hi double, bins int, bin int, n bigint"
+
+
 def profile(df: DataFrame, columns: Sequence[str], bins: int = BINS) -> DataFrame:
     """``(feature, lo, hi, bins, bin, n)``: a baseline's bins, to be stored and compared later.
 
@@ -160,6 +169,8 @@ def profile(df: DataFrame, columns: Sequence[str], bins: int = BINS) -> DataFram
     empty; ``lo`` and ``hi`` are NULL where there is no finite value. Checking against a stored
     profile reads only the new table.
     """
+    if not columns:
+        return df.sparkSession.createDataFrame([], PROFILE_SCHEMA)
     ranges = feature_ranges(df, columns)
     spans = df.sparkSession.createDataFrame(
         [(c, *(span or (None, None))) for c, span in ranges.items()],
@@ -183,6 +194,8 @@ def psi_against_profile(stored: DataFrame, new: DataFrame) -> DataFrame:
     """PSI of ``new`` against a stored :func:`profile`, in its bins, without the baseline rows."""
     spans = stored.select("feature", "lo", "hi", "bins").distinct().collect()
     counts = {r["bins"] for r in spans}
+    if not any(r["feature"] in new.columns for r in spans):
+        return new.sparkSession.createDataFrame([], PSI_SCHEMA)
     if len(counts) != 1:
         raise ValueError(f"the profile has {len(counts)} numbers of bins")
     (bins,) = counts

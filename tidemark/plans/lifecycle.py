@@ -101,7 +101,8 @@ def train_and_promote(
     finally:
         train_side.unpersist()
     chosen = registry.champion(snapshot_id, k=len(algorithms))
-    _store_profile(registry, snapshot_id, label)
+    if registry.snapshot(snapshot_id)["profile_path"] is None:
+        _store_profile(registry, snapshot_id, label)
     registry.promote(chosen, model_name)
     return chosen["run_id"]
 

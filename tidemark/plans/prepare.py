@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import values_hash
 from tidemark.operators.categories import CategoryIndex, apply_index, fit_index
 from tidemark.operators.clean import clean, select_features
+from tidemark.operators.drift import profile
 from tidemark.operators.sampling import TRAIN, balance, oversampling_ratios, split
 from tidemark.operators.scaling import Scaling, apply_scaler, fit_scaler
 from tidemark.session import discard, stage, staging
@@ -18,8 +19,8 @@ from tidemark.sources.ledgers import Registry
 from tidemark.sources.snapshots import (
     COPY,
     SPLIT,
-    new_snapshot_id,
     read_snapshot,
+    snapshot_path,
     write_snapshot,
 )
 from tidemark.spec import INDEXED, FeatureSpec
@@ -186,12 +187,14 @@ def prepare_snapshot(
     order: str = "split_first",
     refit: bool = False,
     invalid: str = "keep",
+    test_size: float = 0.2,
 ) -> str:
-    """Prepare a table, write it as a snapshot and record it; returns the id.
+    """Prepare a table and publish it as a snapshot; returns the id.
 
     If a model is in force its snapshot's state is reused, so that a change of
-    scale or of category frequencies shows up as drift; ``refit`` learns anew. ``invalid``
-    is passed on to :func:`prepare`. Nothing staged is left behind, also after an error.
+    scale or of category frequencies shows up as drift; ``refit`` learns anew. ``test_size`` and
+    ``invalid`` are passed on to :func:`prepare`. Table, state and profile become visible together. After an
+    error neither they nor anything staged is left behind.
     """
     spark = registry.spark
     promoted = None if refit else registry.current(model_name)
@@ -200,11 +203,25 @@ def prepare_snapshot(
         if promoted is None
         else FeatureState.load(spark, registry.state_path(promoted["snapshot_id"]))
     )
-    snapshot_id = snapshot_id or new_snapshot_id(spark)
-    with staging(spark):
-        prepared = prepare(df, spec, order, state, invalid=invalid)
-        write_snapshot(prepared.table, registry.snapshot_root, snapshot_id)
-        prepared.state.save(spark, registry.state_path(snapshot_id))
-    rows = read_snapshot(spark, registry.snapshot_root, snapshot_id).count()
-    registry.record_snapshot(snapshot_id, rows)
+    snapshot_id = registry.reserve(snapshot_id)
+    root, state_path = registry.snapshot_root, registry.state_path(snapshot_id)
+    profile_path = registry.profile_path(snapshot_id)
+    try:
+        with staging(spark):
+            prepared = prepare(df, spec, order, state, test_size, invalid)
+            write_snapshot(prepared.table, root, snapshot_id)
+            prepared.state.save(spark, state_path)
+        features = read_snapshot(spark, root, snapshot_id, originals_only=True).drop(prepared.label, SPLIT)
+        profile(features, features.columns).write.parquet(profile_path)
+        rows = read_snapshot(spark, root, snapshot_id).count()
+    except BaseException:
+        registry.abandon(snapshot_id)
+        raise
+    registry.publish(
+        snapshot_id,
+        rows,
+        table_path=snapshot_path(root, snapshot_id),
+        state_path=state_path,
+        profile_path=profile_path,
+    )
     return snapshot_id

@@ -16,7 +16,7 @@ COPY = "copy_no"  # numbers the copies balancing made of a row, from 1
 
 
 def new_snapshot_id(spark: SparkSession) -> str:
-    """An id from the current time, to the second."""
+    """An id from the current time, to the second; ``Registry.reserve`` gives one nobody else has."""
     return spark.range(1).select(snapshot_stamp().alias(ID)).first()[ID]
 
 
