@@ -13,10 +13,12 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators import deep_forest
+from tidemark.operators.deep_forest import DeepForest
 from tidemark.operators.metrics import confusion, summary_metrics
 from tidemark.session import use_checkpoints
 from tidemark.spec import require_schema
@@ -40,12 +42,9 @@ ALGORITHMS = {
     ),
     "svc": (LinearSVC, {"maxIter": 100, "regParam": 0.1}),
     "boosted": (GBTClassifier, {"maxIter": 100, "maxDepth": 5, "lossType": "logistic"}),
-    # As deep as Spark's trees go, and the ridge penalty 1 / (C n) with C = 1:
-    # the counterparts of an unlimited forest and of a C-penalised regression.
-    "deep_forest": (
-        RandomForestClassifier,
-        {"numTrees": 100, "maxDepth": 30, "impurity": "gini", "seed": 42},
-    ),
+    # Trees of unlimited depth, which Spark's own have not.
+    "deep_forest": (deep_forest.fit, {"numTrees": 100, "seed": 42}),
+    # The ridge penalty 1 / (C n) with C = 1: the counterpart of a C-penalised regression.
     "ridge_logistic": (LogisticRegression, {"maxIter": 1000, "standardization": False}),
 }
 BINARY_ONLY = ("svc", "boosted")
@@ -57,7 +56,10 @@ def assembler(columns: Sequence[str]) -> VectorAssembler:
 
 
 def estimator(algorithm: str, label: str, **overrides: object):
-    """An unfitted classifier with its default parameters, some overridden."""
+    """An unfitted classifier with its default parameters, some overridden.
+
+    ``deep_forest``, which is no stage of a pipeline, is had from :func:`train` only.
+    """
     if algorithm not in ALGORITHMS:
         raise ValueError(f"unknown algorithm {algorithm}; have {', '.join(ALGORITHMS)}")
     kind, defaults = ALGORITHMS[algorithm]
@@ -75,8 +77,12 @@ def train(
     algorithm: str,
     columns: Sequence[str] | None = None,
     **overrides: object,
-) -> PipelineModel:
+) -> PipelineModel | DeepForest:
     """Fit assembler and classifier. Persist ``df`` first when fitting several."""
+    if algorithm == "deep_forest":
+        settings = {**ALGORITHMS[algorithm][1], **overrides}
+        named = {"numTrees": "trees", "maxDepth": "max_depth"}
+        return deep_forest.fit(df, label, columns, **{named.get(k, k): v for k, v in settings.items()})
     use_checkpoints(df.sparkSession)
     if algorithm == "ridge_logistic" and "regParam" not in overrides:
         overrides["regParam"] = 1.0 / max(df.count(), 1)
@@ -93,13 +99,18 @@ def input_schema(df: DataFrame, label: str) -> T.StructType:
     )
 
 
-def evaluate(model: PipelineModel, df: DataFrame, label: str) -> DataFrame:
+def load(spark: SparkSession, path: str) -> PipelineModel | DeepForest:
+    """A saved model of either kind."""
+    return DeepForest(spark, path) if DeepForest.is_at(spark, path) else PipelineModel.load(path)
+
+
+def evaluate(model: PipelineModel | DeepForest, df: DataFrame, label: str) -> DataFrame:
     """One row of quality numbers on held-out rows; the rows are scored once."""
     return summary_metrics(confusion(model.transform(df), label))
 
 
 def score(
-    model: PipelineModel | str, df: DataFrame, schema: T.StructType | None = None
+    model: PipelineModel | DeepForest | str, df: DataFrame, schema: T.StructType | None = None
 ) -> DataFrame:
     """Add ``prediction`` to every row of a table, by a model or a saved one.
 
@@ -108,5 +119,5 @@ def score(
     """
     if schema is not None:
         require_schema(schema, df)
-    fitted = PipelineModel.load(model) if isinstance(model, str) else model
+    fitted = load(df.sparkSession, model) if isinstance(model, str) else model
     return fitted.transform(df).select(*df.columns, "prediction")

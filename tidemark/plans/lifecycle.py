@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
 from tidemark.operators import drift, models
@@ -138,4 +137,4 @@ def retrain_if_needed(
 def score_with_current(registry: Registry, model_name: str, df: DataFrame) -> DataFrame:
     """Score prepared features with the model in force, after checking their schema."""
     path, schema = registry.current_model(model_name)
-    return models.score(PipelineModel.load(path), df, schema)
+    return models.score(path, df, schema)
