@@ -47,6 +47,9 @@ ORACLE["snapshot_ids"] = "select event_id, strftime(ts, '%Y%m%d%H%M%S') snapshot
 ORACLE["ledger_last"] = """select count(*) + 1 n, max(event_id) seq,
   arg_max(strftime(ts, '%Y%m%d%H%M%S'), event_id) snapshot_id, max(event_id) + 1 added
   from events"""
+ORACLE["json_ledger"] = """select row_number() over (order by min(ts)) seq,
+  strftime(min(ts), '%Y%m%d%H%M%S') snapshot_id from events group by ts::date"""
+ORACLE["feature_files"] = "select p_partkey, p_size, p_retailprice from part"
 ORACLE["ledger_folded"] = f"""with m as (
     select strftime(o_orderdate, '%Y-%m') "month", count(*) n, {r6('avg(o_totalprice)')} mean_price
     from orders group by 1)
@@ -68,6 +71,14 @@ ORACLE["drop_columns"] = "select * exclude (c_name) from customer"
 ORACLE["lenient_cast"] = f"with {DIRTY} select * from dirty"
 ORACLE["drop_null_rows"] = f"""with {DIRTY}
   select *, 1.5::double rate from dirty where amount is not null and o_orderstatus <> 'P'"""
+ORACLE["clean_losses"] = f"""with {DIRTY},
+  t as (select count(*) n_read, count(amount) complete,
+    (select count(*) from (select distinct o_orderstatus, o_orderpriority, amount from dirty
+       where amount is not null)) kept from dirty)
+  select unnest(['unparsable', 'read', 'incomplete', 'duplicate', 'kept']) step,
+    unnest(['amount', null, null, null, null]) "column",
+    unnest([n_read - complete, n_read, n_read - complete, complete - kept, kept]) n from t"""
+ORACLE["dedup_by_digest"] = "select * from orders"
 ORACLE["dedup_rows"] = """select distinct l_returnflag, l_linestatus, l_quantity, l_discount
   from lineitem"""
 ORACLE["clean_table"] = f"""with {DIRTY}
@@ -162,6 +173,10 @@ ORACLE["category_index_unseen"] = f"""with o as (
   m as ({ranked('o', 'cohort', "o_orderdate < timestamp '1998-01-01'")})
   select o_orderkey, coalesce("index", (select count(*) from m))::double cohort_indexed
   from o left join m on v = cohort"""
+ORACLE["category_index_hot_unseen"] = f"""with m as ({ranked('lineitem', 'l_partkey::varchar')})
+  select coalesce("index", (select count(*) from m))::double l_partkey_indexed, count(*) n
+  from (select case when l_quantity <= 20 then 'new' else l_partkey::varchar end k from lineitem)
+  left join m on v = k group by 1"""
 ORACLE["one_hot"] = f"""with m as ({ranked('customer', 'c_mktsegment')})
   select c_custkey, {", ".join(f'("index" = {i})::int::double oh_{i}' for i in range(4))}
   from customer join m on v = c_mktsegment"""
@@ -245,6 +260,15 @@ ORACLE["split_exact"] = """select o_orderkey,
 ORACLE["split_random_whole"] = "select * from orders"
 ORACLE["split_random_facts"] = """select count(*) n, true share_is_near, 0::bigint n_both,
   0::bigint n_apart from orders"""
+_POISSON_DRAW = """(('0x' || substr(md5(md5('poisson42|' || doc_id) || '|0'), 1, 8))::bigint
+  / 4294967296.0::double)"""
+ORACLE["balance_poisson"] = f"""with c as (select quality, count(*) n from labels group by quality),
+  r as (select quality, max(n) over () / n mean from c),
+  b as (select quality, mean, list_transform(range(0, 61), lambda k: list_sum(list_transform(
+      range(0, k + 1), lambda j: exp(-mean + j * ln(mean) - lgamma(j + 1))))) bounds from r),
+  d as (select doc_id, quality, case when mean = 1 then 1
+      else len(list_filter(bounds, lambda x: x <= {_POISSON_DRAW})) end n from labels join b using (quality))
+  select doc_id, quality, sum(n)::bigint n_copies from d where n > 0 group by doc_id, quality"""
 ORACLE["balance_by_sampling"] = """select quality, count(*) n, true size_is_near,
   true largest_is_whole, true only_known_rows from labels group by quality"""
 ORACLE["merge_splits"] = "select * from orders"
@@ -390,6 +414,8 @@ ORACLE["schema_diff"] = """
   select 'l_linenumber', 'type_changed', count(l_linenumber) from lineitem union all
   select 'l_discount', 'missing_in_base', count(l_discount) from lineitem"""
 
+ORACLE["psi_from_summary"] = f"""select feature, true is_near,
+  true error_is_small, psi exact from ({ORACLE["psi_combined"]})"""
 ORACLE["drift_report_disjoint"] = """select unnest(['l_quantity', 'l_tax', 'l_discount']) feature,
   null::double psi, unnest(['missing_in_new', 'missing_in_new', 'missing_in_base']) status,
   'halt' decision, 'missing_feature' reason"""
@@ -425,6 +451,7 @@ for _algorithm in "logistic tree forest svc boosted deep_forest ridge_logistic".
     ORACLE[f"train_{_algorithm}"] = f"""with {_RULE}
       select o_orderkey, '{_algorithm}' algorithm, rule prediction from rule"""
 ORACLE["batch_score"] = f"with {_RULE} select o_orderkey, rule prediction from rule"
+ORACLE["score_resumed"] = ORACLE["batch_score"]
 ORACLE["evaluate_model"] = ORACLE["summary_metrics"].replace(
     _RULED,
     f"""{_RULE}, ruled as (select rule prediction,

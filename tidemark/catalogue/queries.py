@@ -34,10 +34,11 @@ from tidemark.operators import (
     models,
     sampling,
     scaling,
+    summaries,
 )
 from tidemark.plans import lifecycle
 from tidemark.plans.prepare import fit_state, prepare, prepare_snapshot, to_features
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, stage
 from tidemark.sources import csv, ledgers, snapshots
 from tidemark.sources.ledgers import Registry
 from tidemark.spec import FeatureSpec, column_roles
@@ -132,6 +133,28 @@ def ledger_last(spark, folder):
     )
 
 
+@query
+def json_ledger(spark, folder):
+    # Stamps of the first event of each day, in a ledger of the older form: one JSON array.
+    days = load(spark, folder, "events").groupBy(F.to_date("ts").alias("day")).agg(F.min("ts").alias("ts"))
+    stamps = F.sort_array(F.collect_list(F.struct(snapshot_stamp(F.col("ts")).alias("timestamp"))))
+    path = scratch_path(spark, "json-ledger")
+    days.agg(F.to_json(stamps).alias("value")).coalesce(1).write.text(path)
+    return ledgers.read_json_ledger(spark, path)
+
+
+@query
+def feature_files(spark, folder):
+    # Features of a snapshot in files of the older layout, one per side.
+    root, stamp = scratch_path(spark, "feature-files"), "20240101000000"
+    parts = load(spark, folder, "part").select("p_partkey", "p_size", "p_retailprice")
+    marked = sampling.split(parts, ["p_partkey"])
+    for side in (sampling.TRAIN, sampling.TEST):
+        rows = marked.where(F.col("split") == side).drop("split")
+        csv.write_csv(rows, f"{root}/{stamp}_x_{side}.csv")
+    return snapshots.read_feature_files(spark, root, stamp, parts.schema)
+
+
 @query
 def ledger_folded(spark, folder):
     # The orders of each month as a record of a ledger that four writers share and that is folded often.
@@ -225,6 +248,23 @@ def dedup_rows(spark, folder):
     )
 
 
+@query
+def clean_losses(spark, folder):
+    # What cleaning loses at each step, counted by the pass that writes its result.
+    spec = FeatureSpec(label="o_orderstatus", drop=["o_orderkey"], to_double=["amount"])
+    losses = clean.Losses()
+    stage(clean.clean(dirty_orders(spark, folder), spec, losses), "cleaned")
+    return losses.table(spark)
+
+
+@query
+def dedup_by_digest(spark, folder):
+    # Orders with every tenth twice: only rows whose digest occurs again are compared whole.
+    orders = load(spark, folder, "orders")
+    again = orders.where(F.col("o_orderkey") % 10 == 0)
+    return clean.drop_duplicates(orders.unionAll(again), by_digest=True)
+
+
 @query
 def clean_table(spark, folder):
     spec = FeatureSpec(label="o_orderstatus", drop=["o_orderkey", "gone"], to_double=["amount"])
@@ -386,6 +426,16 @@ def features_of_other_table(spark, folder):
     )
 
 
+@query
+def category_index_hot_unseen(spark, folder):
+    # A column of many values, of which two rows in five have one that was not there when fitting.
+    lines = load(spark, folder, "lineitem").select("l_partkey", "l_quantity")
+    index = categories.fit_index(lines, ["l_partkey"], max_categories=100)
+    new = F.when(F.col("l_quantity") <= 20, "new").otherwise(F.col("l_partkey").cast("string"))
+    found = categories.apply_index(lines.withColumn("l_partkey", new), index)
+    return found.groupBy("l_partkey_indexed").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def one_hot(spark, folder):
     customers = load(spark, folder, "customer")
@@ -457,6 +507,14 @@ def balance_every_class(spark, folder):
     return sampling.balance(orders, "o_orderstatus", ["o_orderkey"], copy_column="copy_no")
 
 
+@query
+def balance_poisson(spark, folder):
+    # Copies of each row by its own Poisson draw, whatever the partitions.
+    labels = load(spark, folder, "labels").select("doc_id", "quality").repartition(7)
+    sampled = sampling.balance_by_sampling(labels, "quality", seed=42, key=["doc_id"])
+    return sampled.groupBy("doc_id", "quality").agg(F.count(F.lit(1)).alias("n_copies"))
+
+
 @query
 def balance_by_sampling(spark, folder):
     # What holds for any draw: rows of the largest class kept once, no unknown row, sizes near.
@@ -755,6 +813,22 @@ def inject_shift_random(spark, folder):
     )
 
 
+@query
+def psi_from_summary(spark, folder):
+    # The combined range from a summary of the baseline: as near to the exact PSI as it says.
+    lines = lines_by_side(spark, folder)
+    base, new = (lines.where(F.col("side") == side).drop("side") for side in (drift.BASE, drift.NEW))
+    summary = summaries.summarize(base.select(*DRIFT_COLUMNS), DRIFT_COLUMNS)
+    found = summaries.psi_against_summary(summary, new, combined_range=True)
+    exact = drift.psi(base, new, DRIFT_COLUMNS, combined_range=True)
+    return found.join(exact.select("feature", F.col("psi").alias("exact")), "feature").select(
+        "feature",
+        (F.abs(F.col("psi") - F.col("exact")) <= F.col("max_error") + 1e-12).alias("is_near"),
+        (F.col("max_error") < 0.02).alias("error_is_small"),
+        r6("exact").alias("exact"),
+    )
+
+
 @query
 def drift_report_disjoint(spark, folder):
     # Tables that share no column: nothing to compare, and the gate halts.
@@ -843,6 +917,23 @@ for _algorithm in models.ALGORITHMS:
     query(_train(_algorithm))
 
 
+@query
+def score_resumed(spark, folder):
+    # Four files, of which the first call scores two and the second the rest.
+    rows = _ruled_orders(spark, folder)
+    learnt = rows.select("price", "label")
+    registry = Registry(spark, scratch_path(spark, "registry"))
+    schema = models.input_schema(learnt, "label")
+    model = models.train(learnt, "label", "logistic")
+    run_id = registry.record_run(model, "20240101000000", "logistic", {"accuracy": 1.0}, schema)
+    registry.promote(registry.run(run_id), "orders")
+    source, target = scratch_path(spark, "to-score"), scratch_path(spark, "scored")
+    rows.drop("label").repartition(4).write.parquet(source)
+    for at_most in (2, None):
+        lifecycle.score_new_files(registry, "orders", source, target, files_at_once=1, at_most=at_most)
+    return lifecycle.read_scored(registry, "orders", target).select("o_orderkey", "prediction")
+
+
 @query
 def evaluate_model(spark, folder):
     # A model of the rule, judged by labels of which every tenth is turned round.

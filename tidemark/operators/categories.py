@@ -24,6 +24,7 @@ MAX_CATEGORY_BYTES = 8 << 20  # and the most text such a list may hold
 MAX_TOTAL_BYTES = 64 << 20  # and the most text of all columns' lists together
 INLINE_CATEGORIES = 32  # lists up to here become literals in the expression
 HEAD_CATEGORIES = 1_000  # most frequent values of a wide column, looked up by broadcast
+TRACKED_KEYS = 16_384  # values a task follows to find the frequent ones
 
 INVALID_POLICIES = ("keep", "error", "skip")
 
@@ -212,17 +213,42 @@ def _short_key(value: Column) -> Column:
     )
 
 
-def _lookup_wide(df: DataFrame, column: str, ranked: DataFrame, policy: str) -> DataFrame:
+def _frequent_keys(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """Per column the short keys of its values in at least 1 of HEAD_CATEGORIES rows, from one pass.
+
+    A sketch of frequent items finds them: each task keeps TRACKED_KEYS keys a column, and a
+    value in more than about 4 of TRACKED_KEYS rows is never missed.
+    """
+    sketches = [
+        F.expr(f"approx_top_k(k{i}, {HEAD_CATEGORIES}, {TRACKED_KEYS})").alias(f"k{i}")
+        for i in range(len(columns))
+    ]
+    keys = [_short_key(F.col(c).cast("string")).alias(f"k{i}") for i, c in enumerate(columns)]
+    *found, n = df.select(*keys).agg(*sketches, F.count(F.lit(1))).first()
+    return {
+        c: [item for item, seen in tops or () if item is not None and seen * HEAD_CATEGORIES >= n]
+        for c, tops in zip(columns, found)
+    }
+
+
+def _lookup_wide(
+    df: DataFrame, column: str, ranked: DataFrame, policy: str, frequent: Sequence[str]
+) -> DataFrame:
     """Look up a column with too many categories to broadcast, in one pass over ``df``.
 
-    Its most frequent values, and nulls, are resolved by a broadcast of at most
-    HEAD_CATEGORIES short keys. Rows so settled, with all others, go through a left join to the
-    rest of the table, but under keys that match nothing and differ from row to
-    row; what else is left has no known value more frequent than 1/HEAD_CATEGORIES of the rows.
+    The values most frequent when fitted, those ``frequent`` in ``df`` (seen when fitted or not),
+    and nulls, are resolved by a broadcast of at most 2 * HEAD_CATEGORIES short keys. Rows so
+    settled, with all others, go through a left join to the rest of the table, but under keys that
+    match nothing and differ from row to row (equal rows share one); what else is left has no
+    value more frequent than 1/HEAD_CATEGORIES of the rows.
     """
     table = ranked.select(_short_key(F.col("value")).alias("__key"), F.col("index").alias("__index"))
+    known = dict(table.where(F.col("__key").isin(list(frequent))).collect()) if frequent else {}
+    more = [(k, known.get(k)) for k in frequent if known.get(k, HEAD_CATEGORIES) >= HEAD_CATEGORIES]
     head = F.broadcast(
-        table.where(F.col("__index") < HEAD_CATEGORIES).toDF("__head_key", "__head")
+        table.where(F.col("__index") < HEAD_CATEGORIES)
+        .unionAll(df.sparkSession.createDataFrame(more, "__key string, __index bigint"))
+        .toDF("__head_key", "__head")
     )
     tail = table.where(F.col("__index") >= HEAD_CATEGORIES).toDF("__tail_key", "__tail")
     total = ranked.count()
@@ -231,7 +257,7 @@ def _lookup_wide(df: DataFrame, column: str, ranked: DataFrame, policy: str) ->
     spread = F.concat(F.lit("~"), F.xxhash64(*plain).cast("string"))
     own = _short_key(value.cast("string"))
     first = df.withColumn("__own", own).join(head, F.col("__own") == F.col("__head_key"), "left")
-    settled = F.col("__head").isNotNull() | value.isNull()
+    settled = F.col("__head_key").isNotNull() | value.isNull()
     keyed = first.withColumn("__own", F.when(settled, spread).otherwise(F.col("__own")))
     joined = keyed.join(tail, F.col("__own") == F.col("__tail_key"), "left")
     index = _resolve(F.coalesce("__head", "__tail"), column, F.lit(total), policy)
@@ -250,8 +276,9 @@ def apply_index(df: DataFrame, index: CategoryIndex, invalid: str = "keep") -> D
     for column, values in index.labels.items():
         lookup = _lookup_inline if len(values) <= INLINE_CATEGORIES else _lookup_broadcast
         df = lookup(df, column, values, invalid)
+    frequent = _frequent_keys(df, list(index.wide)) if index.wide else {}
     for column, ranked in index.wide.items():
-        df = _lookup_wide(df, column, ranked, invalid)
+        df = _lookup_wide(df, column, ranked, invalid, frequent[column])
     if invalid == "skip" and index.columns:
         df = df.na.drop("any", subset=[c + INDEXED for c in index.columns])
     return df

@@ -255,7 +255,11 @@ def drift_report_from_profile(
 ) -> DataFrame:
     """:func:`drift_report` with the baseline given as a stored profile."""
     known = [r["feature"] for r in stored.select("feature").distinct().collect()]
-    report = flag(psi_against_profile(stored, new), threshold)
+    return with_absent(flag(psi_against_profile(stored, new), threshold), known, new)
+
+
+def with_absent(report: DataFrame, known: Sequence[str], new: DataFrame) -> DataFrame:
+    """``report`` with a row for every column that only the baseline (``known``) or only ``new`` has."""
     absent = _absent_features(
         new.sparkSession, list(dict.fromkeys([*known, *new.columns])), known, new.columns
     )

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from tidemark.functions import edge_grid
 # Stand-ins for a bin number.
 OUTSIDE = -1
 MISSING = -2
+GROUPS_HELD = 1000  # groups whose counts a task holds
 
 Ranges = dict[str, tuple[float, float] | None]
 
@@ -58,32 +61,16 @@ def feature_ranges(df: DataFrame, columns: Sequence[str]) -> Ranges:
     }
 
 
-def _bin_sql(bins: int) -> str:
-    """SQL for the bin of ``__value``: how many inner edges are at or below it.
-
-    A search tree over comparisons with the actual edges, so a value lying on
-    an edge always opens the bin to its right, which dividing by the bin width
-    would not guarantee. Its size depends on the number of bins only; the edges
-    of column number ``__at`` start at ``__at * (bins + 1)``.
-    """
-
-    def edge(i: int) -> str:
-        return f"get(__edges, __at * {bins + 1} + {i})"
-
-    def search(low: int, high: int) -> str:
-        if low == high:
-            return str(low)
-        middle = (low + high + 1) // 2
-        return (
-            f"CASE WHEN __value >= {edge(middle)} THEN {search(middle, high)} "
-            f"ELSE {search(low, middle - 1)} END"
-        )
-
-    return (
-        f"CASE WHEN __value IS NULL THEN {MISSING} "
-        f"WHEN __value < {edge(0)} OR __value > {edge(bins)} THEN {OUTSIDE} "
-        f"ELSE {search(0, bins - 1)} END"
-    )
+def _group_codes(batch: pa.RecordBatch, n_by: int) -> tuple[np.ndarray, list[tuple]]:
+    """A number for each row's values of the first ``n_by`` columns, and the values by number."""
+    code = np.zeros(batch.num_rows, dtype=np.int64)
+    values = []
+    for k in range(n_by):
+        column = batch.column(k).dictionary_encode(null_encoding="encode")
+        code = code * len(column.dictionary) + column.indices.to_numpy()
+        values.append(column)
+    _, first, group = np.unique(code, return_index=True, return_inverse=True)
+    return group, [tuple(v[int(i)].as_py() for v in values) for i in first]
 
 
 def histogram(
@@ -93,25 +80,66 @@ def histogram(
 
     Bins are half-open, the last one closed. Values outside the range count as
     bin OUTSIDE and missing ones (null, NaN) as bin MISSING: nothing goes unreported.
-    Each row yields one number per column, counted inside its task; the shuffle
-    carries one row per (by, column, bin) and task.
+    Tasks take the columns as they are and add up one vector of counts for all of them (and
+    each of the ``by`` values, a thousand at a time); rows are not multiplied by the number of columns, and
+    the shuffle carries one row per (by, column, bin) and task.
     """
     columns = [c for c, r in ranges.items() if r is not None]
     if not columns:
         raise ValueError("no column has a value range")
-    grids = [edge_grid(*ranges[c], bins) for c in columns]
-    # As text, not one literal column per edge: a single call to the JVM.
-    literals = [f"double('{edge!r}')" for grid in grids for edge in grid]
-    edges = F.expr(f"array({', '.join(literals)})")
+    # A value lying on an edge opens the bin to its right: searching the actual edges
+    # guarantees that, dividing by the bin width would not.
+    grids = [np.array(edge_grid(*ranges[c], bins)) for c in columns]
+    n_by, width = len(by), bins + 2
+    numbers = np.array([*range(bins), OUTSIDE, MISSING])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[tuple, np.ndarray] = {}
+
+        def told() -> pa.RecordBatch:
+            rows = [(key, *np.nonzero(t), t[np.nonzero(t)]) for key, t in totals.items()]
+            keys = [
+                pa.array([key[k] for key, at, *_ in rows for _ in at], types[k]) for k in range(n_by)
+            ]
+            parts = list(zip(*(r[1:] for r in rows))) or [[np.empty(0, np.int64)]] * 3
+            at, place, n = (np.concatenate(p) for p in parts)
+            return pa.RecordBatch.from_arrays(
+                [*keys, pa.array(at.astype(np.int32)), pa.array(numbers[place].astype(np.int32)), pa.array(n)],
+                [*(f"b{k}" for k in range(n_by)), "at", "bin", "n"],
+            )
+
+        types: list[pa.DataType] = []
+        for batch in batches:
+            types = [batch.column(k).type for k in range(n_by)]
+            group, keys = _group_codes(batch, n_by)
+            cells = np.empty((len(columns), len(keys) * width), dtype=np.int64)
+            for i, edges in enumerate(grids):
+                values = batch.column(n_by + i).to_numpy(zero_copy_only=False)
+                place = np.searchsorted(edges[1:-1], values, side="right")
+                place[(values < edges[0]) | (values > edges[-1])] = bins
+                place[np.isnan(values)] = bins + 1
+                cells[i] = np.bincount(group * width + place, minlength=cells.shape[1])
+            for g, key in enumerate(keys):
+                part = cells[:, g * width : (g + 1) * width]
+                totals[key] = totals[key] + part if key in totals else part.copy()
+            if len(totals) > GROUPS_HELD:
+                yield told()
+                totals.clear()
+        if totals:
+            yield told()
+
+    kinds = [df.select(c).schema.fields[0].dataType.simpleString() for c in by]
+    schema = ", ".join([*(f"b{k} {kind}" for k, kind in enumerate(kinds)), "at int, bin int, n bigint"])
+    needed = df.select(
+        *(F.col(c).alias(f"b{k}") for k, c in enumerate(by)),
+        *(_number(c).alias(f"v{i}") for i, c in enumerate(columns)),
+    )
+    keys = [f"b{k}" for k in range(n_by)]
+    counted = needed.mapInArrow(count, schema).groupBy(*keys, "at", "bin").agg(F.sum("n").alias("n"))
     names = F.array(*[F.lit(c) for c in columns])
-    values = F.array(*[_number(c) for c in columns])
-    long = df.select(*by, F.posexplode(values).alias("__at", "__value"), edges.alias("__edges"))
-    counted = (
-        long.select(*by, "__at", F.expr(_bin_sql(bins)).alias("bin"))
-        .groupBy(*by, "__at", "bin")
-        .agg(F.count(F.lit(1)).alias("n"))
+    return counted.select(
+        *(F.col(k).alias(c) for k, c in zip(keys, by)), F.get(names, F.col("at")).alias("feature"), "bin", "n"
     )
-    return counted.select(*by, F.get(names, F.col("__at")).alias("feature"), "bin", "n")
 
 
 def with_empty_bins(counts: DataFrame, bins: int, side: str = "n") -> DataFrame:

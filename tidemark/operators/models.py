@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -83,13 +84,38 @@ def train(
         settings = {**ALGORITHMS[algorithm][1], **overrides}
         named = {"numTrees": "trees", "maxDepth": "max_depth"}
         return deep_forest.fit(df, label, columns, **{named.get(k, k): v for k, v in settings.items()})
-    use_checkpoints(df.sparkSession)
-    if algorithm == "ridge_logistic" and "regParam" not in overrides:
-        overrides["regParam"] = 1.0 / max(df.count(), 1)
+    return train_assembled(assemble(df, label, columns), algorithm, **overrides)
+
+
+@dataclass(frozen=True)
+class Assembled:
+    """A training table whose features were assembled once, for any number of fits."""
+
+    raw: DataFrame
+    table: DataFrame  # the vector and the label
+    label: str
+    inputs: list[str]
+
+
+def assemble(df: DataFrame, label: str, columns: Sequence[str] | None = None) -> Assembled:
+    """Feature vector and label of a training table; persist its ``table`` when fitting several."""
     inputs = list(columns) if columns is not None else feature_columns(df, label)
     needed = df.select(*inputs, F.col(label).cast("double").alias(label))
-    stages = [assembler(inputs), estimator(algorithm, label, **overrides)]
-    return Pipeline(stages=stages).fit(needed)
+    return Assembled(df, assembler(inputs).transform(needed).select(FEATURES, label), label, inputs)
+
+
+def train_assembled(data: Assembled, algorithm: str, **overrides: object) -> PipelineModel | DeepForest:
+    """Fit a classifier to an assembled table; the model takes tables that are not assembled."""
+    if algorithm == "deep_forest":
+        return train(data.raw, data.label, algorithm, data.inputs, **overrides)
+    use_checkpoints(data.raw.sparkSession)
+    if algorithm == "ridge_logistic" and "regParam" not in overrides:
+        overrides["regParam"] = 1.0 / max(data.table.count(), 1)
+    fitted = estimator(algorithm, data.label, **overrides).fit(data.table)
+    if getattr(fitted, "hasSummary", False):
+        # A training summary holds the session, which cannot be sent to tasks once it has observed a table.
+        fitted._java_obj.setSummary(data.raw.sparkSession._jvm.scala.Option.apply(None))
+    return PipelineModel([assembler(data.inputs), fitted])
 
 
 def input_schema(df: DataFrame, label: str) -> T.StructType:

@@ -14,6 +14,7 @@ from tidemark.session import shuffle_partitions, stage, staging
 TRAIN = "train"
 TEST = "test"
 MAX_CLASSES = 1_000  # label values whose counts are brought to the driver
+POISSON_PART = 16.0  # largest mean number of copies settled by one draw
 COPIES_PER_BLOCK = 64  # copies one input row may become within one task
 _RADIX_HEX = 4  # hex digits settled per pass of the exact split
 _DIGEST_HEX = 32  # digits of a whole digest
@@ -119,21 +120,67 @@ def _spread_copies(sized: DataFrame, name: str, parts: int) -> DataFrame:
     return spread.withColumn(name, F.explode(F.sequence(first, last))).drop("__block")
 
 
+def poisson_bounds(mean: float) -> list[float]:
+    """The chances of at most 0, 1, 2, … copies, up to where a 32-bit draw tells no more."""
+    bounds, term, total = [], math.exp(-mean), 0.0
+    while not bounds or 1.0 - total > 2.0**-33 and len(bounds) < 40 + 3 * mean:
+        total += term
+        bounds.append(total)
+        term *= mean / len(bounds)
+    return bounds
+
+
+def _poisson_copies(key: Sequence[str | Column], salt: str, mean: float) -> Column:
+    """How many copies of a row there are, by the inverse distribution of its draw.
+
+    A large mean is made up of equal parts of at most POISSON_PART, each with a draw of its own.
+    """
+    parts = max(1, math.ceil(mean / POISSON_PART))
+    bounds = F.array(*map(F.lit, poisson_bounds(mean / parts)))
+
+    def one(part: Column) -> Column:
+        told = F.concat_ws("|", digest(key, salt), part.cast("string"))
+        draw = F.conv(F.substring(F.md5(told), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+        return F.size(F.filter(bounds, lambda bound: bound <= draw))
+
+    if parts == 1:
+        return one(F.lit(0))
+    each = F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), one)
+    return F.aggregate(each, F.lit(0), lambda total, n: total + n)
+
+
 def balance_by_sampling(
-    df: DataFrame, label: str, seed: int, ratios: dict[object, float] | None = None
+    df: DataFrame,
+    label: str,
+    seed: int,
+    ratios: dict[object, float] | None = None,
+    key: Sequence[str] = (),
 ) -> DataFrame:
     """Balance by Poisson sampling with replacement from each smaller class.
 
-    Sizes are right on average only, and the rows drawn depend on how the table
-    is partitioned; :func:`balance` has neither drawback.
+    How often a row appears is drawn from its key or, without one, its values (so that equal rows
+    have equal numbers of copies): repartitioned or run again, the same rows come out. Sizes
+    are right on average only; those of :func:`balance` vary less. Rows of classes with
+    ratio 1 are kept as they are, those without a ratio or a label are left out.
     """
     ratios = oversampling_ratios(df, label) if ratios is None else ratios
-    result = None
+    if any(not r >= 0 for r in ratios.values()):
+        raise ValueError("ratios must not be negative")
+    copies = F
     for value, ratio in ratios.items():
-        rows = df.where(F.col(label) == F.lit(value))
-        part = rows if ratio == 1.0 else rows.sample(True, ratio, seed)
-        result = part if result is None else result.unionByName(part)
-    return result
+        drawn_copies = F.lit(1) if ratio == 1.0 else _poisson_copies(_identity(df, key), f"poisson{seed}", ratio)
+        copies = copies.when(F.col(label) == F.lit(value), drawn_copies)
+    if copies is F:
+        return df.limit(0)
+    sized = df.withColumn("__copies", copies.otherwise(F.lit(0))).where(F.col("__copies") >= 1)
+    rare = [value for value, ratio in ratios.items() if ratio > COPIES_PER_BLOCK / 2]
+    if not rare:
+        return sized.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).drop("__copies", "__copy")
+    sized = stage(sized, "sized")
+    is_rare = F.col(label).isin(rare)
+    usual = sized.where(~is_rare).withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies")))
+    spread = _spread_copies(sized.where(is_rare), "__copy", shuffle_partitions(df))
+    return usual.unionByName(spread).drop("__copies", "__copy")
 
 
 def split(

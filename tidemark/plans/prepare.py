@@ -14,6 +14,7 @@ from tidemark.operators.clean import clean, select_features
 from tidemark.operators.drift import profile
 from tidemark.operators.sampling import TRAIN, balance, oversampling_ratios, split
 from tidemark.operators.scaling import Scaling, apply_scaler, fit_scaler
+from tidemark.operators.summaries import summarize
 from tidemark.session import discard, stage, staging
 from tidemark.sources.ledgers import Registry
 from tidemark.sources.snapshots import (
@@ -193,7 +194,7 @@ def prepare_snapshot(
 
     If a model is in force its snapshot's state is reused, so that a change of
     scale or of category frequencies shows up as drift; ``refit`` learns anew. ``test_size`` and
-    ``invalid`` are passed on to :func:`prepare`. Table, state and profile become visible together. After an
+    ``invalid`` are passed on to :func:`prepare`. Table, state, profile and summary become visible together. After an
     error neither they nor anything staged is left behind.
     """
     spark = registry.spark
@@ -205,7 +206,7 @@ def prepare_snapshot(
     )
     snapshot_id = registry.reserve(snapshot_id)
     root, state_path = registry.snapshot_root, registry.state_path(snapshot_id)
-    profile_path = registry.profile_path(snapshot_id)
+    profile_path, summary_path = registry.profile_path(snapshot_id), registry.summary_path(snapshot_id)
     try:
         with staging(spark):
             prepared = prepare(df, spec, order, state, test_size, invalid)
@@ -213,6 +214,7 @@ def prepare_snapshot(
             prepared.state.save(spark, state_path)
         features = read_snapshot(spark, root, snapshot_id, originals_only=True).drop(prepared.label, SPLIT)
         profile(features, features.columns).write.parquet(profile_path)
+        summarize(features, features.columns).write.parquet(summary_path)
         rows = read_snapshot(spark, root, snapshot_id).count()
     except BaseException:
         registry.abandon(snapshot_id)
@@ -223,5 +225,6 @@ def prepare_snapshot(
         table_path=snapshot_path(root, snapshot_id),
         state_path=state_path,
         profile_path=profile_path,
+        summary_path=summary_path,
     )
     return snapshot_id
