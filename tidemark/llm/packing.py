@@ -11,17 +11,20 @@ place by its length and its rank among pieces of that length.
 
 from __future__ import annotations
 
+import json
 import re
+import struct
+import unicodedata
 from collections import deque
 from collections.abc import Iterator
-from functools import cached_property, lru_cache, partial
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
-from tokenizers import Tokenizer, normalizers
+from tokenizers import Tokenizer
 
 from tidemark.llm.common import in_slices, pick, stage_once, text_slices, with_slots
 
@@ -29,11 +32,9 @@ CAPACITY = 2048
 END_ID = 1  # fixed value: closes each document
 MAX_SLACK = 8  # padding left in a window before a piece is cut to fill it
 CACHED_WORDS = 100_000  # new words after which a task forgets those it has not met again
-LEARNT_WORDS = 60  # words tokenised in one call
 SLICE_DOCS = 200  # documents tokenised at a time
 
 
-
 def default_vocabulary() -> str:
     """The public word vocabulary installed on every machine."""
     import public_tokenizers
@@ -43,72 +44,89 @@ def default_vocabulary() -> str:
 
 # ---------------------------------------------------------------- tokens
 
-# Texts for which the tokenizer's first steps are lower-casing and cutting at white space.
+# How the vocabulary's tokenizer cuts words, once texts are in lower case.
+_CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# Characters (up to U+024F, without controls) that lower-casing is all the normalisation of.
 _PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa0-\u012f\u0131-\u024f]*")
-_BETWEEN = "\x01"  # a word of its own that no plain text has
+
+
+def _of_kind(kind: str) -> str:
+    """The plain characters of a Unicode category, in lower case, for use in a set of characters."""
+    plain = "".join(map(chr, range(0x20, 0x250)))
+    found = sorted(c for c in {*plain, *plain.lower()} if unicodedata.category(c).startswith(kind))
+    return "".join(map(re.escape, found))
+
+
+def _parts(letters: str, numbers: str) -> re.Pattern:
+    """The same cuts; what is most frequent is tried first, which changes none of them."""
+    words = f"[{letters}]+|[{numbers}]"
+    others = _CUT.partition("|[")[0]
+    return re.compile(rf"{words}|{others}|[^\s{letters}{numbers}]+")
+
+
+_PARTS = _parts(_of_kind("L"), _of_kind("N"))
+_ASCII_PARTS = _parts("a-z", "0-9")  # of texts in lower case
+
+
+def _byte_letters() -> dict[int, int]:
+    """The character that stands for each byte: itself if it is visible, else one from U+0100 on."""
+    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = (b for b in range(256) if b not in visible)
+    return {b: 0x100 + k for k, b in enumerate(others)}
+
+
+_LETTERS = _byte_letters()
 
 
 class WordIds:
-    """Token ids of a text, as the tokenizer gives them, remembering those of its words.
+    """Token ids of a text, as the tokenizer gives them, remembering those of its parts.
 
-    White space is dropped and ends every token, so a text's ids are those of its words
-    in order. Texts beyond Latin letters, or that may hold special tokens, go to the
-    tokenizer whole. Words not met for a while are forgotten: what was used since the last
-    ``CACHED_WORDS`` new ones, and before that, is kept.
+    A text is cut into parts (words, digits, runs of marks), none of whose tokens reaches into another,
+    so its ids are those of its parts in order. Texts beyond Latin letters, or that may hold special
+    tokens, go to the tokenizer whole, as do all texts of a tokenizer that cuts otherwise. Parts not met for
+    a while are forgotten: what was used since the last ``CACHED_WORDS`` new ones, and before
+    that, is kept.
     """
 
     def __init__(self, path: str) -> None:
-        self.path = path
-        self.plain = Tokenizer.from_file(path)  # for text that is normalised already
-        self.plain.normalizer = normalizers.Sequence([])
-        self.kind = np.uint16 if self.plain.get_vocab_size() <= 1 << 16 else np.uint32
-        (self.between,) = self._encode(self.plain, _BETWEEN)
+        self.whole = Tokenizer.from_file(path)
+        self.model = self.whole.model
+        self.kind = np.uint16 if self.whole.get_vocab_size() <= 1 << 16 else np.uint32
+        self.code = "H" if self.kind is np.uint16 else "I"
+        told = json.loads(self.whole.to_str())
+        steps = (told["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        self.cuts = steps[0].get("pattern", {}).get("Regex") == _CUT and steps[-1].get("type") == "ByteLevel"
         self.recent: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
 
-    @cached_property
-    def whole(self) -> Tokenizer:
-        return Tokenizer.from_file(self.path)
-
-    def _encode(self, tokenizer: Tokenizer, text: str) -> np.ndarray:
-        (got,) = tokenizer.encode_batch_fast([text], add_special_tokens=False)
-        return np.array(got.ids, dtype=self.kind)
-
-    def _learn(self, words: set[str]) -> None:
-        new = list(words)
-        for first in range(0, len(new), LEARNT_WORDS):
-            some = new[first : first + LEARNT_WORDS]
-            ids = self._encode(self.plain, f" {_BETWEEN} ".join(some))
-            stops = [*np.flatnonzero(ids == self.between).tolist(), len(ids)]
-            raw, wide, low = ids.tobytes(), ids.itemsize, 0
-            for word, stop in zip(some, stops, strict=True):
-                self.recent[word] = raw[low * wide : stop * wide]
-                low = stop + 1
+    def _encode(self, text: str) -> bytes:
+        (got,) = self.whole.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(got.ids, dtype=self.kind).tobytes()
+
+    def _part(self, part: str) -> bytes:
+        letters = part if part.isascii() else part.encode().decode("latin-1").translate(_LETTERS)
+        ids = [token.id for token in self.model.tokenize(letters)]
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
 
     def of(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of each text."""
-        recent, before, out, gaps = self.recent, self.before, [], []
+        recent, before, out = self.recent, self.before, []
         for text in texts:
-            if "<|" in text or not _PLAIN.fullmatch(text):
-                out.append([self._encode(self.whole, text).tobytes()])
+            if not self.cuts or "<|" in text or not _PLAIN.fullmatch(text):
+                out.append(self._encode(text))
                 continue
-            words = text.lower().split()
-            ids = list(map(recent.get, words))
-            out.append(ids)
+            parts = (_ASCII_PARTS if text.isascii() else _PARTS).findall(text.lower())
+            ids = list(map(recent.get, parts))
             at = -1
             for _ in range(ids.count(None)):
                 at = ids.index(None, at + 1)
-                word = words[at]
-                if word in before:
-                    ids[at] = recent[word] = before[word]
-                else:
-                    gaps.append((ids, at, word))
-        self._learn({word for _, _, word in gaps})
-        for ids, at, word in gaps:
-            ids[at] = recent[word]
+                part = parts[at]
+                known = recent.get(part) or before.get(part) or self._part(part)
+                ids[at] = recent[part] = known
+            out.append(b"".join(ids))
         if len(recent) > CACHED_WORDS:
             self.before, self.recent = recent, {}
-        return [b"".join(ids) for ids in out]
+        return out
 
 
 @lru_cache(maxsize=2)
