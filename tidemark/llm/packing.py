@@ -16,7 +16,7 @@ import re
 import struct
 import unicodedata
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache, partial
 
 import numpy as np
@@ -31,7 +31,7 @@ from tidemark.llm.common import in_slices, pick, stage_once, text_slices, with_s
 CAPACITY = 2048
 END_ID = 1  # fixed value: closes each document
 MAX_SLACK = 8  # padding left in a window before a piece is cut to fill it
-CACHED_WORDS = 100_000  # new words after which a task forgets those it has not met again
+CACHED_WORDS = 150_000  # new words after which a task forgets those it has not met again
 SLICE_DOCS = 200  # documents tokenised at a time
 
 
@@ -78,6 +78,25 @@ def _byte_letters() -> dict[int, int]:
 _LETTERS = _byte_letters()
 
 
+class _Known(dict):
+    """Ids of parts, made when first asked for; ``before`` is what was known earlier."""
+
+    def __init__(self, make: Callable[[str], bytes], before: dict[str, bytes] | None = None) -> None:
+        self.make, self.before = make, before or {}
+
+    def __missing__(self, part: str) -> bytes:
+        ids = self.before.get(part) or self.make(part)
+        self[part] = ids
+        return ids
+
+    def renewed(self) -> _Known:
+        """Itself or, once it is full, an empty one that remembers what this one has."""
+        if len(self) <= CACHED_WORDS:
+            return self
+        self.before = {}
+        return _Known(self.make, self)
+
+
 class WordIds:
     """Token ids of a text, as the tokenizer gives them, remembering those of its parts.
 
@@ -96,8 +115,7 @@ class WordIds:
         told = json.loads(self.whole.to_str())
         steps = (told["pre_tokenizer"] or {}).get("pretokenizers", [{}])
         self.cuts = steps[0].get("pattern", {}).get("Regex") == _CUT and steps[-1].get("type") == "ByteLevel"
-        self.recent: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
+        self.known = _Known(self._part)
 
     def _encode(self, text: str) -> bytes:
         (got,) = self.whole.encode_batch_fast([text], add_special_tokens=False)
@@ -110,22 +128,14 @@ class WordIds:
 
     def of(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of each text."""
-        recent, before, out = self.recent, self.before, []
+        out = []
         for text in texts:
             if not self.cuts or "<|" in text or not _PLAIN.fullmatch(text):
                 out.append(self._encode(text))
                 continue
             parts = (_ASCII_PARTS if text.isascii() else _PARTS).findall(text.lower())
-            ids = list(map(recent.get, parts))
-            at = -1
-            for _ in range(ids.count(None)):
-                at = ids.index(None, at + 1)
-                part = parts[at]
-                known = recent.get(part) or before.get(part) or self._part(part)
-                ids[at] = recent[part] = known
-            out.append(b"".join(ids))
-        if len(recent) > CACHED_WORDS:
-            self.before, self.recent = recent, {}
+            out.append(b"".join(map(self.known.__getitem__, parts)))
+        self.known = self.known.renewed()
         return out
 
 
