@@ -20,7 +20,7 @@ def brute(docs, items):
         own = words(text)
         size = min(10, len(own))
         for i in range(len(own) - size + 1 if size else 0):
-            windows.setdefault(tuple(own[i : i + size]), set()).add(str(item))
+            windows.setdefault(tuple(own[i : i + size]), set()).update([] if item is None else [str(item)])
     out = []
     for doc, text in docs:
         own, hit, found = words(text), set(), set()
@@ -67,8 +67,10 @@ DOCS = [
 def test_matches_brute_force(spark, clashing):
     docs = clashing(spark.createDataFrame(DOCS, "doc_id long, text string"))
     items = clashing(spark.createDataFrame(ITEMS, "item_id long, text string"))
-    known = [(i, t) for i, t in ITEMS if i is not None]
-    assert rows(decontaminate.report(docs, items)) == brute(DOCS, known)
+    assert rows(decontaminate.report(docs, items)) == brute(DOCS, ITEMS)
+    alone = spark.createDataFrame([(9, "so alpha BETA")], "doc_id long, text string")
+    (row,) = decontaminate.report(alone, items).collect()
+    assert (row.n_hit, row.n_items, row.hit_items, row.contaminated) == (2, 0, [], True)
 
 
 @pytest.mark.parametrize("broadcast", [True, False])

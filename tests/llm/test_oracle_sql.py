@@ -22,5 +22,5 @@ def test_all_are_registered():
     import __spark_entry__
 
     assert {*QUERIES, "pipeline"} <= set(__spark_entry__.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLE) <= set(__spark_entry__.oracle_sql())

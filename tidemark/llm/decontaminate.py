@@ -44,7 +44,10 @@ def windows_of(words: Column, size: int) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
-    """``window``, ``length``, ``items``: each distinct window and the items it occurs in."""
+    """``window``, ``length``, ``items``: each distinct window and the items it occurs in.
+
+    Items without an id have windows, but are not listed.
+    """
     words = pick(benchmark, "item_id", "text").select(
         F.col("item_id").cast("string").alias("item"), words_of(F.col("text")).alias("words")
     )
@@ -52,7 +55,6 @@ def benchmark_windows(benchmark: DataFrame, size: int = WINDOW_WORDS) -> DataFra
     starts = F.sequence(F.lit(1), F.size("words") - width + 1)
     return (
         words.where(F.size("words") > 0)
-        .where("item is not null")
         .select("item", "words", width.alias("length"), F.explode(starts).alias("start"))
         .select("item", "length", F.array_join(F.slice("words", F.col("start"), F.col("length")), " ").alias("window"))
         .groupBy("window", "length")
@@ -105,8 +107,8 @@ def find_hits(
 def report(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
     """One row per document: words, words hit, and the benchmark items found.
 
-    Null, empty and wordless texts have no words and no hits. Items with null id or
-    without words match nothing. Repeated rows, also of equal ``doc_id``, come
+    Null, empty and wordless texts have no words and no hits. Items without
+    words match nothing; the words that one with a null id matches are hit, but it is not counted or listed. Repeated rows, also of equal ``doc_id``, come
     back as often as given. Columns other than ``doc_id`` and ``text`` are ignored.
     Empty tables on either side give an empty result or no hits. ``hit_places``
     are the places of hit words, from 1.

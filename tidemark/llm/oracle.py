@@ -52,7 +52,7 @@ _WORDS = (
     f"'{string.ascii_lowercase}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 )
 ORACLE["op5_decontaminate"] = f"""with d as (select doc_id, {_WORDS} w from documents),
-  b as (select item_id::varchar item, {_WORDS} w from benchmark where item_id is not null),
+  b as (select item_id::varchar item, {_WORDS} w from benchmark),
   bw as (select distinct item, least(10, len(w)) k,
            array_to_string(w[i : i + least(10, len(w)) - 1], ' ') g
          from b, unnest(range(1, len(w) - least(10, len(w)) + 2)) t(i) where len(w) > 0),
