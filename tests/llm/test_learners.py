@@ -119,3 +119,12 @@ def test_toxicity_without_labels_or_rows(spark, data):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert toxicity.score_documents(docs, none).where("predicted = 1").count() == 0
     assert toxicity.score_documents(docs.limit(0), load(spark, data, "labels")).count() == 0
+
+
+def test_samples_are_drawn_from_tables_of_any_size():
+    from tidemark.llm.common import DRAW_BITS, share_bound
+
+    for wanted, n in ((2000, 10**10), (20_000, 10**13), (2000, 1), (2000, 0), (2000, 1500)):
+        share = share_bound(wanted, n) / 2**DRAW_BITS
+        assert share * max(n, 1) == pytest.approx(min(wanted, max(n, 1)), rel=1e-6)
+    assert share_bound(5, 5) == 2**DRAW_BITS

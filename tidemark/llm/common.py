@@ -16,6 +16,7 @@ FOLDS = 5  # fixed value: one fold in five is held out
 SLICE_ROWS = 400  # documents whose terms are counted at a time
 BLOCK_ROWS = 4096  # members of a group compared in one task
 BROADCAST_GROUPS = 100_000  # keys of large groups sent to every task; beyond, a join shuffles
+DRAW_BITS = 62  # of a hash, drawn to choose rows
 SLOT_ROWS = 200_000  # rows ranked in one task
 
 
@@ -66,6 +67,14 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), FOLDS) == 0
 
 
+def share_bound(wanted: int, n: int) -> int:
+    """The bound below which ``DRAW_BITS`` random bits are for about ``wanted`` of ``n`` rows.
+
+    It is above 0 for any number of rows that a table can have.
+    """
+    return (1 << DRAW_BITS) * min(wanted, max(n, 1)) // max(n, 1)
+
+
 def stage_once(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back; the caller's result depends on it."""
     return stage_at(df, scratch_path(df.sparkSession, name))

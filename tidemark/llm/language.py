@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from tidemark.llm.common import Carried, held_out, in_slices, pick, text_slices
+from tidemark.llm.common import DRAW_BITS, Carried, held_out, in_slices, pick, share_bound, text_slices
 
 NGRAMS = (3, 4)  # characters; a gap between words counts as one
 SLOTS_LOG2 = 19
@@ -132,9 +132,9 @@ def fit(
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
     if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    draw = F.pmod(F.xxhash64(F.lit(8), "doc_id"), F.lit(1_000_000))
+    draw = F.shiftrightunsigned(F.xxhash64(F.lit(8), "doc_id"), 64 - DRAW_BITS)
     shares = docs.sparkSession.createDataFrame(
-        [(x, int(min(1.0, sample_docs / n) * 1_000_000)) for x, n in sizes.items()],
+        [(x, share_bound(sample_docs, n)) for x, n in sizes.items()],
         "label string, share long",
     )
     chosen = rows.join(F.broadcast(shares), F.col("lang") == F.col("label")).where(draw < F.col("share"))

@@ -23,7 +23,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType
 
-from tidemark.llm.common import Carried, held_out, in_slices, pick, stage_once, text_slices
+from tidemark.llm.common import (
+    DRAW_BITS,
+    Carried,
+    held_out,
+    in_slices,
+    pick,
+    share_bound,
+    stage_once,
+    text_slices,
+)
 
 SAMPLE_DOCS = 20_000  # labelled documents read when fitting
 STEMS = (4, 5, 6, 7, 8)  # lengths of word beginnings that may be learnt
@@ -210,9 +219,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> G
     labels each count.
     """
     known = pick(labels, "doc_id", "toxic").where("toxic in (0, 1)").where(~held_out(F.col("doc_id")))
-    share = min(1.0, sample_docs / max(1, known.count()))
-    draw = F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(1_000_000))
-    wanted = known.where(draw < int(share * 1_000_000))
+    draw = F.shiftrightunsigned(F.xxhash64(F.lit(7), "doc_id"), 64 - DRAW_BITS)
+    wanted = known.where(draw < share_bound(sample_docs, known.count()))
     texts = pick(docs, "doc_id", "text").where("text is not null")
     sample = stage_once(_without_copies(texts.join(F.broadcast(wanted), "doc_id")), "labelled")
     sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
