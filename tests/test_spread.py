@@ -157,7 +157,7 @@ def test_observed_sessions_can_still_score(spark):
     losses = clean.Losses()
     stage(clean.clean(df, FeatureSpec(label="y"), losses), "cleaned")
     for algorithm in ("logistic", "forest", "svc"):
-        model = models.train(df, "y", algorithm, **({"numTrees": 3} if algorithm == "forest" else {}))
+        model = models.train(df, "y", algorithm, **({"numTrees": 3} if algorithm == "forest" else {"maxIter": 8}))
         assert model.transform(df).where("prediction = y").count() > 150
 
 
